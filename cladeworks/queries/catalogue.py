@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from ..operators import heavy_keys, nested
+from . import derep  # noqa: F401
+from .base import ORACLES, QUERIES, query
 
-FLAGSHIP = "p3_taxa"
-QUERIES = {f.__name__: f for f in (heavy_keys.p3_found, heavy_keys.p3_taxa, nested.p5_found, nested.p5_records)}
-ORACLES: dict[str, str] = {}
+FLAGSHIP = "greedy_clusters"
+for f in (heavy_keys.p3_found, heavy_keys.p3_taxa, nested.p5_found, nested.p5_records):
+    query()(f)
