@@ -94,10 +94,18 @@ def canonicaliser(made: tuple[dict[int, str], str]) -> Callable[[str], str]:
     """
     small, unstable = made
     settle = _settle(small)
-    runs = re.compile(f"[^{unstable}]?[{unstable}]+", re.DOTALL)
+    runs = re.compile(f"[{unstable}]+")
+    control = re.compile("[\\0-\\x08\\x0e-\\x1b\\x7f]")
 
     def canonical(text: str) -> str:
-        return runs.sub(lambda m: settle(m[0]), text)
+        if text.isascii() and not control.search(text):
+            return text
+        out, done = [], 0
+        for m in runs.finditer(text):
+            first = max(m.start() - 1, done)
+            out += text[done:first], settle(text[first : m.end()])
+            done = m.end()
+        return "".join(out) + text[done:] if done else text
 
     return canonical
 
