@@ -175,7 +175,7 @@ def ancestors(nodes: DataFrame) -> DataFrame:
     from ..session import cut
 
     up = cut(nodes.where("parent >= 0").select("node", "parent"))
-    leaves = nodes.join(nodes.select(F.col("parent").alias("node")).distinct(), "node", "left_anti").where("label != ''")
+    leaves = nodes.join(nodes.select(F.col("parent").alias("node")).distinct(), "node", "left_anti").where("label != ''").select("node", "label")
     jump, step = up.select("node", F.col("parent").alias("far")), 1
     paths = leaves.join(up, "node").select(F.col("node").alias("leaf"), F.col("label").alias("leaf_label"), F.col("parent").alias("node"), F.lit(1).alias("depth"))
     paths = cut(paths)
