@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, drop_cut
 
+#: Undecided edges, counted in both directions, that one task finishes.
+FINISH_EDGES = 200_000
+
 
 def degrees(members: DataFrame, edges: DataFrame) -> DataFrame:
     """(class_id, size, degree): neighbours of each record of a class, counted over records, not classes.
@@ -21,13 +25,28 @@ def degrees(members: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def greedy_cover(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _sequential(x: pd.DataFrame) -> pd.DataFrame:
+    """The greedy rule one node after the other, over the few edges that are left."""
+    near: dict = {}
+    rank: dict = {}
+    for u, v, r in zip(x["u"].tolist(), x["v"].tolist(), x["ru"].tolist()):
+        near.setdefault(u, []).append(v)
+        rank[u] = (r["d"], r["i"])
+    reps: set = set()
+    for u in sorted(near, key=rank.get):
+        if not any(v in reps for v in near[u]):
+            reps.add(u)
+    return pd.DataFrame({"u": sorted(reps)})
+
+
+def greedy_cover(nodes: DataFrame, edges: DataFrame, finish: int = FINISH_EDGES) -> DataFrame:
     """(id, rep): each node with its representative; a representative has itself.
 
     nodes: (id, degree); edges: (a, b), each pair once. In the order of falling degree and rising id a
     node becomes a representative unless a neighbour is one already; the others go to
     their first representative in that order. All nodes without an earlier undecided neighbour are
-    decided at once, so the rounds follow the longest chain of falling order, not the nodes.
+    decided at once, so the rounds follow the longest chain of falling order, not the nodes. Once at most `finish`
+    directed edges are undecided, one task walks through them in order.
     """
     rank = F.struct((-F.col("degree")).alias("d"), F.col("id").alias("i"))
     ranked = nodes.select("id", rank.alias("rank"))
@@ -39,11 +58,13 @@ def greedy_cover(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
     whole = cut(both)
     live, reps = whole, None
-    while True:
-        # in `live` both ends are undecided; those with no earlier neighbour become representatives
-        fresh = cut(live.groupBy("u", "ru").agg(F.min("rv").alias("first")).where("first > ru").select("u"))
-        if fresh.isEmpty():
+    while (n := live.count()) > 0:
+        # in `live` both ends are undecided, and no undecided node has a representative beside it
+        if n <= finish:
+            last = live.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(_sequential, f"u {nodes.schema['id'].dataType.simpleString()}")
+            reps = last if reps is None else reps.unionByName(last)
             break
+        fresh = cut(live.groupBy("u", "ru").agg(F.min("rv").alias("first")).where("first > ru").select("u"))
         reps = fresh if reps is None else reps.unionByName(fresh)
         covered = live.join(fresh.withColumnRenamed("u", "v"), "v", "left_semi").select("u")
         gone = cut(covered.unionByName(fresh).distinct())

@@ -75,8 +75,9 @@ def matrix(spark: SparkSession, path) -> DataFrame:
 def distance_matrix(spark: SparkSession, path) -> DataFrame:
     """(s, o, d): distances of a tab-separated matrix between labels S_... and O_..., their prefixes cut."""
     raw = _tsv(spark, path)
-    first, *rest = raw.columns
-    long = raw.unpivot([first], rest, "col", "d").withColumnRenamed(first, "row")
+    cols = [f"c{i}" for i in range(len(raw.columns))]
+    heads = F.create_map(*(F.lit(x) for pair in zip(cols, raw.columns) for x in pair))
+    long = raw.toDF(*cols).unpivot(cols[:1], cols[1:], "c", "d").select(F.col("c0").alias("row"), heads[F.col("c")].alias("col"), "d")
     return long.where(F.startswith("col", F.lit("S_")) & F.startswith("row", F.lit("O_"))).select(
         F.substring("col", 3, 10_000).alias("s"), F.substring("row", 3, 10_000).alias("o"), F.col("d").try_cast("double").alias("d")
     )
@@ -148,7 +149,7 @@ def taxon_pages(spark: SparkSession, path) -> DataFrame:
     schema = f"Taxon ARRAY<STRUCT<{one}, AkaTaxIds: STRUCT<TaxId: ARRAY<STRING>>, LineageEx: STRUCT<Taxon: ARRAY<STRUCT<{one}>>>>>"
     raw = spark.read.format("xml").options(rowTag="TaxaSet").schema(schema).load(path)
     t = raw.select(F.explode("Taxon").alias("t"))
-    return t.select(F.col("t.TaxId").alias("taxid"), F.col("t.ScientificName").alias("name"), F.col("t.Rank").alias("rank"), F.col("t.AkaTaxIds.TaxId").alias("aka"), F.col("t.LineageEx.Taxon").alias("lineage"))
+    return t.select(F.col("t.TaxId").alias("taxid"), F.col("t.ScientificName").alias("name"), F.col("t.Rank").alias("rank"), F.col("t.AkaTaxIds.TaxId").alias("aka"), F.transform("t.LineageEx.Taxon", lambda x: F.struct(x["TaxId"].alias("taxid"), x["ScientificName"].alias("name"), x["Rank"].alias("rank"))).alias("lineage"))
 
 
 def accessions(names: DataFrame, column: str) -> DataFrame:

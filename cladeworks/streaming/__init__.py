@@ -1 +1 @@
-"""See the modules."""
+"""Incremental processing of arriving records."""
