@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: Suffixes of sequence files, longest first.
 SUFFIXES = (".fasta.gz", ".fasta", ".fa", ".fna", ".fas")
 _SUFFIX_RE = "(" + "|".join(s.replace(".", "[.]") for s in SUFFIXES) + ")$"
+#: Folders, the three taxa of a file name, a database prefix, the accession, a suffix: one match per name.
+_NAME_RE = r"(?s)\A(?:.*/)?(?:[^_/]*_[^_/]*_[^_/]*_)?(?:(?:GB|RS)_)?([^/]*?)" + _SUFFIX_RE.replace("$", r"?\z")
 
 
 def strip_suffix(name: Column) -> Column:
@@ -25,11 +27,7 @@ def accession_of(name: Column) -> Column:
     A name is an accession, with or without a database prefix, or a file name
     family_genus_species_accession, with or without folders, padding and suffix.
     """
-    s = stem(name)
-    bare = F.when(
-        F.size(F.split(s, "_")) >= 4, F.regexp_replace(s, "^[^_]*_[^_]*_[^_]*_", "")
-    ).otherwise(s)
-    return F.nullif(F.regexp_replace(bare, "^(GB|RS)_", ""), F.lit(""))
+    return F.nullif(F.regexp_extract(F.trim(name), _NAME_RE, 1), F.lit(""))
 
 
 def parse_file_name(name: Column) -> Column:
