@@ -117,10 +117,12 @@ def per_key(
     """
     measures = list(measures)
     hows = [m.how for m in measures]
-    told = F.to_json(F.array(*(F.col(c).cast("string") for c in raw)))
-    spelled = df.select(*raw).distinct().select(told.alias("spelling"), *(k.alias(n) for n, k in keys.items())).dropna()
-    if spelled.limit(max_spellings + 1).count() > max_spellings:
+    # each value with its length before it, so that different values never give one spelling
+    told = F.concat(*(F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (F.col(x).cast("string") for x in raw)))
+    spelled = cut(df.select(*raw).distinct())
+    if spelled.count() > max_spellings:
         return _salted(df, keys, measures)
+    spelled = spelled.select(told.alias("spelling"), *(k.alias(n) for n, k in keys.items())).dropna()
     found = spelled.toPandas().sort_values([*keys, "spelling"], ignore_index=True)
     codes = found.groupby(list(keys), sort=False).ngroup().to_numpy() if len(found) else np.zeros(0, np.int64)
     n = int(codes.max()) + 1 if len(codes) else 0
