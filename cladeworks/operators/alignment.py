@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import reverse_complement
 
 
+def _columns(text: str) -> Column:
+    """The 1-based columns of an aligned text that are no gap."""
+    return F.filter(F.transform(F.split(text, ""), lambda c, i: F.when((c != "-") & (c != ""), i + 1)), lambda i: i.isNotNull())
+
+
+def _pick(text: str, keep: str) -> Column:
+    return F.array_join(F.transform(keep, lambda i: F.substring(text, i, F.lit(1))), "")
+
+
+def _end_before(parts: Column, i: Column) -> Column:
+    """Where the piece before the i-th ends; 0 before the first."""
+    before = F.get(parts, i - 1)
+    return F.coalesce(before["at"] + F.length(before["t"]), F.lit(0))
+
+
 def project_blocks(rows: DataFrame, reference: str, exclude: list[str] | None = None, by_contig: bool = False) -> DataFrame:
     """(genome, seq): every genome's aligned text on the reference's coordinates, the reference first by `ord` 0.
 
@@ -20,18 +35,17 @@ def project_blocks(rows: DataFrame, reference: str, exclude: list[str] | None =
     first = rows.where(~F.col("genome").isin(list(exclude or []) or [""])).groupBy("block", "genome").agg(F.min_by(F.struct(*(c for c in rows.columns if c not in ("block", "genome"))), "row").alias("x")).select("block", "genome", "x.*")
     order = ["contig", "start", "block"] if by_contig else ["start", "block"]
     ref = first.where(F.col("genome") == reference)
-    at = F.filter(F.transform(F.split("text", ""), lambda c, i: F.when((c != "-") & (c != ""), i + 1)), lambda i: i.isNotNull())
-    ref = ref.select("block", F.struct(*order).alias("place"), at.alias("keep")).where(F.size("keep") > 0)
-    genomes = first.select("genome").distinct()
-    text = first.select("block", "genome", "text")
-    cells = genomes.join(F.broadcast(ref)).join(text, ["block", "genome"], "left")
-    width = F.size("keep")
-    kept = F.when(F.col("text").isNull(), F.repeat(F.lit("-"), width)).otherwise(
-        F.array_join(F.transform("keep", lambda i: F.substring("text", i, F.lit(1))), "")
-    )
-    parts = cells.select("genome", F.struct("place", kept.alias("t")).alias("p"))
-    seqs = parts.groupBy("genome").agg(F.sort_array(F.collect_list("p")).alias("p"))
-    return seqs.select((F.col("genome") != reference).cast("int").alias("ord"), "genome", F.array_join(F.transform("p", lambda x: x["t"]), "").alias("seq")).orderBy("ord", "genome")
+    ref = ref.select("block", F.struct(*order).alias("place"), _columns("text").alias("keep")).where(F.size("keep") > 0)
+    # where each block starts on the reference; the window sees one short row per block
+    spans = ref.select("block", "place", F.size("keep").cast("bigint").alias("width"))
+    total = spans.agg(F.sum("width")).first()[0] or 0
+    starts = spans.withColumn("at", F.sum("width").over(W.orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("width")).select("block", "at")
+    kept = first.select("block", "genome", "text").join(ref.select("block", "keep"), "block").join(starts, "block")
+    parts = kept.groupBy("genome").agg(F.sort_array(F.collect_list(F.struct("at", _pick("text", "keep").alias("t")))).alias("p"))
+    text = F.array_join(F.transform("p", lambda x, i: F.concat(F.repeat(F.lit("-"), (x["at"] - _end_before(F.col("p"), i)).cast("int")), x["t"])), "")
+    out = first.select("genome").distinct().join(parts.select("genome", text.alias("t")), "genome", "left")
+    seq = F.rpad(F.coalesce("t", F.lit("")), total, "-")
+    return out.where(F.lit(total > 0)).select((F.col("genome") != reference).cast("int").alias("ord"), "genome", seq.alias("seq")).orderBy("ord", "genome")
 
 
 def project_xmfa(rows: DataFrame, reference: str) -> DataFrame:
@@ -40,25 +54,23 @@ def project_xmfa(rows: DataFrame, reference: str) -> DataFrame:
     rows: block, genome, p1, p2, sign, text. Columns where the reference has a gap are dropped; where its sign is -
     all rows of the block are reverse-complemented; what no block covers is '-'. Later blocks overwrite earlier ones.
     """
-    at = F.filter(F.transform(F.split("text", ""), lambda c, i: F.when((c != "-") & (c != ""), i + 1)), lambda i: i.isNotNull())
-    ref = rows.where(F.col("genome") == reference).select("block", F.col("p1").alias("s"), F.col("p2").alias("e"), F.col("sign").alias("ref_sign"), at.alias("keep"))
-    total = ref.agg(F.max("e").alias("total"))
-    got = rows.join(F.broadcast(ref), "block").select(
-        "block", "genome", "s", F.array_join(F.transform("keep", lambda i: F.substring("text", i, F.lit(1))), "").alias("t"), "ref_sign"
-    )
+    ref = rows.where(F.col("genome") == reference).select("block", F.col("p1").alias("s"), F.col("p2").alias("e"), F.col("sign").alias("ref_sign"), _columns("text").alias("keep"))
+    total = ref.agg(F.max("e")).first()[0] or 0
+    got = rows.join(ref, "block").select("block", "genome", "s", _pick("text", "keep").alias("t"), "ref_sign")
     got = got.withColumn("t", F.when(F.col("ref_sign") == "-", reverse_complement(F.col("t"))).otherwise(F.col("t")))
     sites = got.select("genome", "block", F.posexplode(F.split("t", "")).alias("i", "c"), "s").where("c != ''")
     sites = sites.groupBy("genome", (F.col("s") + F.col("i")).alias("pos")).agg(F.max_by("c", "block").alias("c"))
-    m = sites.groupBy("genome").agg(F.map_from_entries(F.collect_list(F.struct("pos", "c"))).alias("m"))
-    everyone = rows.select("genome").distinct().join(m, "genome", "left").join(F.broadcast(total))
-    seq = F.array_join(F.transform(F.sequence(F.lit(1), F.col("total")), lambda p: F.coalesce(F.try_element_at("m", p.cast("bigint")), F.lit("-"))), "")
-    return everyone.where("total > 0").select((F.col("genome") != reference).cast("int").alias("ord"), "genome", seq.alias("seq")).orderBy("ord", "genome")
+    parts = sites.groupBy("genome").agg(F.sort_array(F.collect_list(F.struct((F.col("pos") - 1).alias("at"), F.col("c").alias("t")))).alias("p"))
+    text = F.array_join(F.transform("p", lambda x, i: F.concat(F.repeat(F.lit("-"), (x["at"] - _end_before(F.col("p"), i)).cast("int")), x["t"])), "")
+    out = rows.select("genome").distinct().join(parts.select("genome", text.alias("t")), "genome", "left")
+    seq = F.rpad(F.coalesce("t", F.lit("")), total, "-")
+    return out.where(F.lit(total > 0)).select((F.col("genome") != reference).cast("int").alias("ord"), "genome", seq.alias("seq")).orderBy("ord", "genome")
 
 
 def sites(msa: DataFrame, name: str = "name", seq: str = "seq") -> DataFrame:
     """(name, pos, c): the characters of each row up to the shortest row, pos from 0."""
-    shortest = msa.agg(F.min(F.length(seq)).alias("_w"))
-    cut_at = msa.join(F.broadcast(shortest)).select(F.col(name).alias("name"), F.split(F.expr(f"substring({seq}, 1, _w)"), "").alias("s"))
+    shortest = msa.agg(F.min(F.length(seq))).first()[0] or 0
+    cut_at = msa.select(F.col(name).alias("name"), F.split(F.substring(seq, 1, shortest), "").alias("s"))
     return cut_at.select("name", F.posexplode("s").alias("pos", "c")).where("c != ''")
 
 

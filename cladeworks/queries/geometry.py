@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import alignment, distances, trees
 from ..session import cut, table
-from .base import query
+from .base import EDGES, query
+from .derep import _classes
 
 _CENT = """long as (select label, unnest(range(len(embedding))) as i, unnest(embedding)::double as x from embeddings where label is not null),
 cent as (select label, i, round(avg(x), 9) as x from long group by all),
@@ -35,23 +36,23 @@ def pair_kind_stats(spark, sf):
     return distances.pair_kinds(_dist(spark, sf).where("a < b"), lambda c: c < 5, 4)
 
 
-_SIMS = """sims as (select l1.p_size as a, l2.p_size as b, l1.n::double / l2.n as s from (select p_size, count(*) as n from part group by p_size) l1, (select p_size, count(*) as n from part group by p_size) l2 where l1.n <= l2.n)"""
+_SIMS = EDGES + ", sims as (select a, b, jaccard as s from edges union all select b, a, jaccard from edges)"
 
 
 def _sims(spark, sf):
-    c = table(spark, sf, "part").groupBy("p_size").agg(F.count("*").alias("n"))
-    x, y = c.select(F.col("p_size").alias("a"), F.col("n").alias("na")), c.select(F.col("p_size").alias("b"), F.col("n").alias("nb"))
-    return x.join(F.broadcast(y), F.col("na") <= F.col("nb")).select("a", "b", (F.col("na").cast("double") / F.col("nb")).alias("s"))
+    """Similarities of different documents in both directions."""
+    e = _classes(spark, sf)[2].select("a", "b", F.col("jaccard").alias("s"))
+    return e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
 
 
-@query(f"with {_SIMS} select least(floor((s - 0.5) / ((1.0 - 0.5) / 100)), 99)::int as bin, count(*) as n from sims where a != b and s between 0.5 and 1.0 group by 1")
+@query(f"with {_SIMS} select least(floor((s - 0.8::double) / ((1.0::double - 0.8::double) / 100)), 99)::int as bin, count(*) as n from sims where a != b and s between 0.8 and 1.0 group by 1")
 def glance_hist(spark, sf):
-    return distances.overview(_sims(spark, sf), 0.5, 1.0)
+    return distances.overview(_sims(spark, sf), 0.8, 1.0)
 
 
-@query(f"with {_SIMS} select count(*) as n, min(s) as least, quantile_cont(s, 0.25) as q1, median(s) as q2, quantile_cont(s, 0.75) as q3, max(s) as most from sims where a != b and s between 0.5 and 1.0")
+@query(f"with {_SIMS} select count(*) as n, round(min(s), 9) as least, round(quantile_cont(s, 0.25), 9) as q1, round(median(s), 9) as q2, round(quantile_cont(s, 0.75), 9) as q3, round(max(s), 9) as most from sims where a != b and s between 0.8 and 1.0")
 def glance_box(spark, sf):
-    return distances.five_numbers(_sims(spark, sf), 0.5, 1.0)
+    return distances.five_numbers(_sims(spark, sf), 0.8, 1.0).select("n", *(F.round(c, 9).alias(c) for c in ("least", "q1", "q2", "q3", "most")))
 
 
 @query(f"""with {_CENT}, r as (select a, sum(d) as r from dist group by a), n as (select count(*) as n from r)
