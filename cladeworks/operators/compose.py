@@ -115,3 +115,24 @@ def summary(clusters: DataFrame) -> DataFrame:
     return clusters.groupBy("representative").agg(
         F.count_distinct(other).alias("num_contained"), F.sort_array(F.collect_set(other)).alias("contained")
     )
+
+
+def match_labels(labels: DataFrame, files: DataFrame) -> DataFrame:
+    """(label, name): the file a label means, by its base name, else by its stem, else its base name as it is."""
+    from ..functions.names import strip_suffix
+
+    base = F.substring_index("label", "/", -1)
+    exact = files.select(F.col("name").alias("_b"), F.col("name").alias("_n1")).distinct()
+    stems = files.groupBy(strip_suffix(F.col("name")).alias("_s")).agg(F.min("name").alias("_n2"))
+    out = labels.select("label").distinct().withColumn("_b", base).withColumn("_s", strip_suffix(base))
+    return out.join(exact, "_b", "left").join(stems, "_s", "left").select("label", F.coalesce("_n1", "_n2", "_b").alias("name"))
+
+
+def reused(stage1: DataFrame, stage2: DataFrame) -> DataFrame:
+    """(representative, members): of each second-stage representative its children and their first-stage children, in order."""
+    two = stage2.where("representative != member").select("representative", "member")
+    one = stage1.where("representative != member").select(F.col("representative").alias("member"), F.col("member").alias("child"))
+    under = two.join(one, "member").select("representative", F.col("child").alias("member"))
+    own = two.select("representative").distinct().join(one.withColumnRenamed("member", "representative"), "representative").select("representative", F.col("child").alias("member"))
+    everyone = two.unionByName(under).unionByName(own).where("member != representative")
+    return everyone.groupBy("representative").agg(F.sort_array(F.collect_set("member")).alias("members"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..session import cut, table
+from ..session import cut, splits, table
 
 #: Spellings that are encoded on every executor; beyond it the salted aggregate below is used.
 MAX_SPELLINGS = 500_000
@@ -129,7 +129,7 @@ def per_key(
     split = df.select(told.alias("spelling"), *(m.value.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)))
     values = pa.array(found["spelling"].tolist(), pa.string())
     blocks = split.mapInArrow(_accumulate(values, codes, n, hows), "block int, part int, body binary")
-    parts = split._jdf.queryExecution().toRdd().getNumPartitions()
+    parts = splits(split)
     if parts > FAN_IN:
         blocks = blocks.repartition("block", F.col("part") % int(parts**0.5)).mapInArrow(
             _reduce(hows, False, []), "block int, part int, body binary"

@@ -260,3 +260,21 @@ def qc_status(spark, sf):
     failed = q.select(names.accession_of(F.col("genome")).alias("genome"))
     everyone = table(spark, sf, "genomes").select(F.col("accession").alias("genome"))
     return cover.statuses(_stage(spark, sf, 1), failed, everyone)
+
+
+_SUFFIX = "'([.]fasta[.]gz|[.]fasta|[.]fa|[.]fna|[.]fas)$'"
+
+
+@query(f"""with f as (select distinct filename as name from genomes where filename is not null), st as (select regexp_replace(name, {_SUFFIX}, '') as s, min(name) as name from f group by 1),
+l as (select distinct member as label, regexp_replace(member, '^.*/', '') as b from derep_clusters where member is not null)
+select label, coalesce(f.name, st.name, b) as name from l left join f on f.name = b left join st on st.s = regexp_replace(b, {_SUFFIX}, '')""")
+def label_match(spark, sf):
+    files = table(spark, sf, "genomes").select(F.col("filename").alias("name")).where("name is not null").distinct()
+    return compose.match_labels(table(spark, sf, "derep_clusters").select(F.col("member").alias("label")).where("label is not null"), files)
+
+
+@query(f"""with {_STAGES}, two as (select r, m from last where stage = 2 and r != m), one as (select r, m from last where stage = 1 and r != m),
+e as (select r, m from two union select two.r, one.m from two join one on one.r = two.m union select two.r, one.m from two join one on one.r = two.r)
+select r as representative, list(m order by m) as members from (select distinct r, m from e where r != m) group by r""")
+def reuse_rule(spark, sf):
+    return compose.reused(_stage(spark, sf, 1), _stage(spark, sf, 2))

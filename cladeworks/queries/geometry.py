@@ -144,3 +144,21 @@ def hamming_matrix(spark, sf):
 @query("select count(distinct lower(genus)) filter (genus != '') as genera, count(distinct lower(genus) || '|' || lower(coalesce(species, ''))) filter (genus != '') as species from genomes")
 def taxonomic_spread(spark, sf):
     return alignment.spread_of(table(spark, sf, "genomes"))
+
+
+_MAF = """m as (select n_regionkey as block, n_nationkey as row, 'g' || (n_nationkey % 5) as genome, (100 - n_regionkey) as start, replace(substr(n_name || '------------', 1, 12), 'A', '-') as text from nation),
+f as (select block, genome, arg_min(text, row) as text, arg_min(start, row) as start from m group by all),
+ref as (select block, start, list_filter(range(1, 13), lambda i: substr(text, i, 1) != '-') as keep from f where genome = 'g0'),
+cells as (select g.genome, r.block, r.start, coalesce(array_to_string(list_transform(r.keep, lambda i: substr(f.text, i, 1)), ''), repeat('-', len(r.keep))) as t
+ from (select distinct genome from f) g cross join (select * from ref where len(keep) > 0) r left join f on f.genome = g.genome and f.block = r.block)"""
+
+
+@query(f"with {_MAF} select case when genome = 'g0' then 0 else 1 end as ord, genome, string_agg(t, '' order by start, block) as seq from cells group by genome")
+def msa_project(spark, sf):
+    """Blocks made from the nations' names, one per region, projected on one of them."""
+    n = table(spark, sf, "nation")
+    rows = n.select(
+        F.col("n_regionkey").cast("bigint").alias("block"), F.col("n_nationkey").alias("row"), F.concat(F.lit("g"), (F.col("n_nationkey") % 5).cast("string")).alias("genome"),
+        (100 - F.col("n_regionkey")).cast("bigint").alias("start"), F.replace(F.rpad("n_name", 12, "-"), F.lit("A"), F.lit("-")).alias("text"),
+    )
+    return alignment.project_blocks(rows, "g0")

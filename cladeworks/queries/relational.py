@@ -331,3 +331,26 @@ def missing_genomes(spark, sf):
     from ..sources.tables import accessions
 
     return accessions(table(spark, sf, "derep_clusters"), "member").join(table(spark, sf, G).select("accession").where("accession is not null"), "accession", "left_anti")
+
+
+@query("""select source, count(*) filter (contains(text, 'GCA_')) as num, min(n_chars) filter (contains(text, 'GCA_')) as seq_min, max(n_chars) filter (contains(text, 'GCA_')) as seq_max,
+ trunc(median(n_chars) filter (contains(text, 'GCA_')))::bigint as seq_med, coalesce(list(distinct accession order by accession) filter (accession is not null), []) as ids from documents group by source""")
+def tagged_length_stats(spark, sf):
+    """Lengths of the tagged records of each source, and the ids of all its records."""
+    tagged = F.when(F.contains("text", F.lit("GCA_")), F.col("n_chars"))
+    return table(spark, sf, "documents").groupBy("source").agg(
+        F.count_if(F.contains("text", F.lit("GCA_"))).alias("num"), F.min(tagged).alias("seq_min"), F.max(tagged).alias("seq_max"),
+        F.median(tagged).cast("bigint").alias("seq_med"), F.sort_array(F.collect_set("accession")).alias("ids"),
+    )
+
+
+@query("select row_id, array_to_string([coalesce(family, ''), coalesce(genus, ''), coalesce(species, '')], ',') as lineage, not is_outgroup as selected from genomes")
+def lineage_joined(spark, sf):
+    parts = F.array(*(F.coalesce(c, F.lit("")) for c in ("family", "genus", "species")))
+    return table(spark, sf, G).select("row_id", F.array_join(parts, ",").alias("lineage"), (~F.col("is_outgroup")).alias("selected"))
+
+
+@query("select n_nationkey, regexp_replace(repeat(n_name, 20), '(.{80})', '\\1\n', 'g') as wrapped from nation where length(n_name) * 20 % 80 != 0")
+def sequence_wrap(spark, sf):
+    n = table(spark, sf, "nation").where("length(n_name) * 20 % 80 != 0")
+    return n.select("n_nationkey", text.wrap(F.repeat(F.col("n_name"), 20)).alias("wrapped"))

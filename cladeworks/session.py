@@ -9,9 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A frame is broadcast only if it was counted or measured to be below these bounds.
+#: A frame is broadcast only if it was counted to have no more rows.
 BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,17 +54,26 @@ def drop_cut(df: DataFrame) -> None:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of df if, counted, it has at most `rows` rows; else leave the join to Spark."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Hint a broadcast of df if, counted, it has at most `rows` rows; else leave the join to Spark.
+
+    df is written once, so that counting it does not compute it twice.
+    """
+    kept = df if hasattr(df, "_cut_path") else cut(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
+def splits(df: DataFrame) -> int:
+    """About how many file splits a scan gives, from Spark's estimate of its size; nothing is run."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    per = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(1, min(size // per, 1_000_000))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give CPU-heavy Python stages enough even tasks.
 
     Small inputs come as one or two file splits; they are hashed on `key` into twice as
-    many parts as there are cores. Inputs that already have as many splits stay unshuffled.
+    many parts as there are cores. Inputs with as many splits already stay unshuffled.
     """
-    spark = df.sparkSession
-    want = 2 * spark.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df if plan >= want else df.repartition(want, key)
+    want = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if splits(df) >= want else df.repartition(want, key)
