@@ -72,13 +72,14 @@ def _text(v: object) -> str:
     return x.encode("utf-8", "replace").decode() if not x.isascii() else str(x)
 
 
-def label(value: object, lists: frozenset[str], only: frozenset[str] | None) -> Iterator[tuple[str, list[int], dict[str, str]]]:
+def label(value: object, lists: frozenset[str], only: frozenset[str] | None, seen: dict[str, str] | None = None) -> Iterator[tuple[str, list[int], dict[str, str]]]:
     """(schema path, Dewey label, leaves) of the root and of every array element in reach.
 
     Leaves are the scalars an element holds directly or in objects, by dotted key; of two
     spellings of one key the first value that is not null counts. A path in `lists` is an array even where its
-    one element stands alone. With `only`, other arrays are not entered.
+    one element stands alone. With `only`, other arrays are not entered. seen: keys already brought into one spelling.
     """
+    seen = {} if seen is None else seen
     rows = [("", (), value)]
     while rows:
         path, dewey, top = rows.pop()
@@ -89,8 +90,14 @@ def label(value: object, lists: frozenset[str], only: frozenset[str] | None) ->
             if v is None:
                 continue
             if isinstance(v, dict):
-                members = [(snake(k), i, x) for i, (k, x) in enumerate(v.items())]
-                for key, i, x in reversed(members):
+                for i, (k, x) in reversed([*enumerate(v.items())]):
+                    key = seen.get(k)
+                    if key is None:
+                        if len(seen) > 10_000:
+                            seen.clear()
+                        key = seen[k] = snake(k)
+                    if x is None:
+                        continue
                     at = f"{p}.{key}" if p else key
                     if x is not None and not isinstance(x, list) and at + "[]" in lists:
                         x = [x]
@@ -107,7 +114,7 @@ def label(value: object, lists: frozenset[str], only: frozenset[str] | None) ->
 
 def _kernel(wrap: str | None, lists: frozenset[str], only: frozenset[str] | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        readers = _strict()
+        readers, seen = _strict(), {}
         schema = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("path", pa.string()), ("dewey", pa.list_(pa.int32())), ("leaves", pa.map_(pa.string(), pa.string()))])
         out: tuple[list, ...] = ([], [], [], [], [])
         row = TaskContext.get().partitionId() << 40
@@ -126,7 +133,7 @@ def _kernel(wrap: str | None, lists: frozenset[str], only: frozenset[str] | None
                     continue
                 if wrap and not (isinstance(value, dict) and wrap in value):
                     value = {wrap: [value]}
-                for path, dewey, leaves in label(value, lists, only):
+                for path, dewey, leaves in label(value, lists, only, seen):
                     for c, x in zip(out, (i, row, path, dewey, list(leaves.items()))):
                         c.append(x)
                     if len(out[0]) >= ROWS:
