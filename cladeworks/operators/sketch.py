@@ -11,9 +11,18 @@ from ..functions.text import reverse_complement
 from ..session import spread
 
 
+#: Letters of scripts that put no spaces between words.
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]"
+
+
 def words(text: Column) -> Column:
-    """Runs of ASCII letters and digits in lower case."""
-    return F.filter(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    """Runs of letters, their marks and digits of any script, in lower case.
+
+    In scripts written without spaces each letter with its marks is a word. Forms are taken as written:
+    a full-width letter is another letter than its narrow one, a composed accent another than a combining one.
+    """
+    apart = F.regexp_replace(F.lower(text), rf"({_UNSPACED}\p{{M}}*)", " $1 ")
+    return F.filter(F.split(F.regexp_replace(apart, r"[^\p{L}\p{M}\p{N}]+", " "), " "), lambda w: w != "")
 
 
 def shingles(items: Column, size: int, sep: str) -> Column:

@@ -120,3 +120,24 @@ def test_edges_from_pairs(spark, rows):
     p = spark.createDataFrame([("a", "b", "0.999"), ("a", "a", "1"), ("a", "z", "1"), ("b", "c", "0.5"), ("a", "c", "x"), ("b", "a", "nan")], "q string, m string, s string")
     known = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     assert rows(similarity.edges_from_pairs(p, "q", "m", "s", 0.99, known)) == [("a", "b"), ("b", "a")]
+
+
+def test_words_of_any_script(spark):
+    said = {
+        "Το γονίδιο λείπει": ["το", "γονίδιο", "λείπει"], "Ген 12, ЕЩЁ": ["ген", "12", "ещё"], "Quixdoxünde_b1": ["quixdoxünde", "b1"], "ＧＣＦ＿７０ ｎ５": ["ｇｃｆ", "７０", "ｎ５"],
+        "基因abc缺失,共7次": ["基", "因", "abc", "缺", "失", "共", "7", "次"], "हिन्दी में": ["हिन्दी", "में"], "GCA_1.2 --": ["gca", "1", "2"], "—": [], "": [],
+    }
+    df = spark.createDataFrame([(t,) for t in said], "text string")
+    assert {r[0]: r[1] for r in df.select("text", sketch.words(F.col("text"))).collect()} == said
+
+
+def test_near_duplicates_of_any_script(spark):
+    r = random.Random(3)
+    rows = []
+    for k, (letters, gap) in enumerate([("абвгдежзиклмн", " "), ("αβγδεζηθικλμν", " "), ("基因序列长度样品菌株缺失", ""), ("ａｂｃｄｅｆｇｈｉｊ０１２", "\u3000"), ("àéîõüçñøåß", " ")]):
+        made = ["".join(r.choice(letters) for _ in range(4)) for _ in range(60)]
+        rows += [(10 * k, gap.join(made)), (10 * k + 1, gap.join([*made, made[0]])), (10 * k + 2, gap.join(r.sample(made, 60)))]
+    # the same ids among different words
+    rows += [(90 + i, " ".join(f"{w} gca 7000 1 n50 {n}" for n in range(30))) for i, w in enumerate(["Ген", "γονίδιο"])]
+    got = dereplicate.by_sketch(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text").clusters.collect()
+    assert {(x["representative"], x["member"]) for x in got if x["representative"] != x["member"]} == {(10 * k, 10 * k + 1) for k in range(5)}
