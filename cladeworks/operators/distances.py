@@ -45,14 +45,21 @@ def pair_kinds(d: DataFrame, kept: Column, digits: int = 6) -> DataFrame:
     )
 
 
-def overview(sims: DataFrame, low: float, high: float, bins: int = 100) -> DataFrame:
-    """(bin, n): histogram of the similarities between low and high, self pairs dropped; sims: a, b, s."""
-    s = sims.where((F.col("a") != F.col("b")) & F.col("s").between(low, high))
+def _between(sims: DataFrame, low: float, high: float, weight: str | None) -> DataFrame:
+    w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    return sims.where((F.col("a") != F.col("b")) & F.col("s").between(low, high)).select("s", w.alias("w"))
+
+
+def overview(sims: DataFrame, low: float, high: float, bins: int = 100, weight: str | None = None) -> DataFrame:
+    """(bin, n): histogram of the similarities between low and high, self pairs dropped; sims: a, b, s.
+
+    weight: a column with the number of pairs a row stands for, else 1.
+    """
     at = F.least(F.floor((F.col("s") - low) / ((high - low) / bins)), F.lit(bins - 1)).cast("int")
-    return s.groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    return _between(sims, low, high, weight).groupBy(at.alias("bin")).agg(F.sum("w").alias("n"))
 
 
-def five_numbers(sims: DataFrame, low: float, high: float) -> DataFrame:
-    """One row: least, quartiles and greatest of the similarities between low and high, self pairs dropped."""
-    s = sims.where((F.col("a") != F.col("b")) & F.col("s").between(low, high))
-    return s.agg(F.count("*").alias("n"), F.min("s").alias("least"), F.percentile("s", 0.25).alias("q1"), F.median("s").alias("q2"), F.percentile("s", 0.75).alias("q3"), F.max("s").alias("most"))
+def five_numbers(sims: DataFrame, low: float, high: float, weight: str | None = None) -> DataFrame:
+    """One row: number, least, quartiles and greatest of the similarities between low and high, self pairs dropped; weight as in overview."""
+    q = {k: F.percentile("s", x, F.col("w")).alias(k) for k, x in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))}
+    return _between(sims, low, high, weight).agg(F.coalesce(F.sum("w"), F.lit(0)).cast("bigint").alias("n"), F.min("s").alias("least"), *q.values(), F.max("s").alias("most"))

@@ -39,20 +39,34 @@ def pair_kind_stats(spark, sf):
 _SIMS = EDGES + ", sims as (select a, b, jaccard as s from edges union all select b, a, jaccard from edges)"
 
 
+def _pairs(members, edges):
+    """(a, b, s, w): similarities in both directions, each row for w pairs of different documents.
+
+    An edge stands for all pairs across its two classes, a class for the pairs within it, which have
+    similarity 1; no pair is made.
+    """
+    sizes = members.groupBy("class_id").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+    na, nb = (sizes.select(F.col("class_id").alias(c), F.col("n").alias(f"w{c}")) for c in "ab")
+    e = edges.select("a", "b", F.col("jaccard").alias("s")).join(na, "a").join(nb, "b").select("a", "b", "s", (F.col("wa") * F.col("wb")).alias("w"))
+    inside = sizes.where("n > 1").select(F.col("class_id").alias("a"), F.col("last").alias("b"), F.lit(1.0).alias("s"), F.expr("n * (n - 1) div 2").alias("w"))
+    e = e.unionByName(inside)
+    return e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", "w"))
+
+
 def _sims(spark, sf):
-    """Similarities of different documents in both directions."""
-    e = _classes(spark, sf)[2].select("a", "b", F.col("jaccard").alias("s"))
-    return e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+    """Similarities of different documents in both directions, weighted."""
+    _, members, edges = _classes(spark, sf)
+    return _pairs(members, edges)
 
 
 @query(f"with {_SIMS} select least(floor((s - 0.8::double) / ((1.0::double - 0.8::double) / 100)), 99)::int as bin, count(*) as n from sims where a != b and s between 0.8 and 1.0 group by 1")
 def glance_hist(spark, sf):
-    return distances.overview(_sims(spark, sf), 0.8, 1.0)
+    return distances.overview(_sims(spark, sf), 0.8, 1.0, weight="w")
 
 
 @query(f"with {_SIMS} select count(*) as n, round(min(s), 9) as least, round(quantile_cont(s, 0.25), 9) as q1, round(median(s), 9) as q2, round(quantile_cont(s, 0.75), 9) as q3, round(max(s), 9) as most from sims where a != b and s between 0.8 and 1.0")
 def glance_box(spark, sf):
-    return distances.five_numbers(_sims(spark, sf), 0.8, 1.0).select("n", *(F.round(c, 9).alias(c) for c in ("least", "q1", "q2", "q3", "most")))
+    return distances.five_numbers(_sims(spark, sf), 0.8, 1.0, weight="w").select("n", *(F.round(c, 9).alias(c) for c in ("least", "q1", "q2", "q3", "most")))
 
 
 @query(f"""with {_CENT}, r as (select a, sum(d) as r from dist group by a), n as (select count(*) as n from r)

@@ -112,3 +112,18 @@ def test_first_pair_agrees(spark):
     assert (r["a"], r["b"]) == (0, 1)
     text = trees.nj_tree(spark.createDataFrame(pairs, "a int, b int, d double").select("a", "b", F.col("d"))).first()["newick"]
     assert text.endswith(";") and text.count("(") == 4
+
+
+def test_overview_counts_pairs_of_documents(spark, rows):
+    from statistics import quantiles
+
+    from cladeworks.queries.geometry import _pairs
+
+    members = spark.createDataFrame([(1, 1), (4, 1), (5, 1), (2, 2), (6, 2), (3, 3)], "id bigint, class_id bigint")
+    edges = spark.createDataFrame([(1, 2, 0.91), (2, 3, 0.83)], "a bigint, b bigint, jaccard double")
+    p = _pairs(members, edges).cache()
+    every = [x for x in [0.91] * 6 + [0.83] * 2 + [1.0] * 4 for _ in range(2)]
+    assert rows(distances.overview(p, 0.8, 1.0, 10, "w")) == [(1, 4), (5, 12), (9, 8)]
+    got = distances.five_numbers(p, 0.8, 1.0, "w").first()
+    assert tuple(got) == pytest.approx((24, 0.83, *quantiles(every, n=4, method="inclusive"), 1.0))
+    assert distances.five_numbers(p.limit(0), 0.8, 1.0, "w").first()["n"] == 0
