@@ -17,16 +17,18 @@ def lineage_struct(raw: Column) -> Column:
     """struct of all ranks of a string like d__A;p__B;...;s__G e; absent ranks are ''.
 
     The species loses its genus, blanks and underscores; genus and family lose blanks and underscores.
-    The last part of a rank counts. Null gives empty ranks.
+    The last part of a rank counts. A name that has a rank prefix already loses it: f__f__A is A, and so is each
+    word of a species, s__g__G s__e. Null gives empty ranks.
     """
     parts = F.split(F.coalesce(raw, F.lit("")), ";")
 
     def last(rank):
         hits = F.filter(parts, lambda p: F.startswith(p, F.lit(rank[0] + "__")))
-        return F.coalesce(F.substring(F.try_element_at(hits, F.lit(-1)), 4, 10_000), F.lit(""))
+        return F.coalesce(F.regexp_replace(F.try_element_at(hits, F.lit(-1)), r"^(\s*[A-Za-z]__)+", ""), F.lit(""))
 
     genus = last("genus")
     made = {r: last(r) for r in RANKS}
+    made["species"] = F.regexp_replace(made["species"], r"(^|\s)(\s*[A-Za-z]__)+", "$1")
     made["species"] = _clean(F.when(genus == "", made["species"]).otherwise(F.replace(made["species"], genus, F.lit(""))))
     made["genus"], made["family"] = _clean(genus), _clean(made["family"])
     return F.struct(*(x.alias(r) for r, x in made.items()))

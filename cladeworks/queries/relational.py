@@ -54,7 +54,7 @@ from t where not contains(f || g || s, ';') and not contains(f || g || s, '__')"
 def lineage_parse(spark, sf):
     """Ranked lineage strings as a taxonomy table writes them, taken apart again."""
     f, g, s = (F.coalesce(c, F.lit("")) for c in ("family", "genus", "species"))
-    rows = table(spark, sf, G).where(~F.contains(F.concat(f, g, s), F.lit(";")) & ~F.contains(F.concat(f, g, s), F.lit("__")))
+    rows = table(spark, sf, G)
     raw = F.concat(F.lit("f__"), f, F.lit(";g__"), g, F.lit(";s__"), g, F.lit(" "), s)
     return rows.select("row_id", text.lineage_struct(raw).alias("t")).select("row_id", "t.*")
 

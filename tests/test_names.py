@@ -60,3 +60,12 @@ def test_classify(spark):
     assert c([]) == ("NA", "NA", "NA") and c(None) == ("NA", "NA", "NA")
     header = one(spark, "acc desc | Some | 10535.7] [Species x | tag", text.header_struct)
     assert tuple(header) == ("10535.7", "10535", "Species x", "acc")
+
+
+def test_lineage_of_names_with_a_prefix(spark, tmp_path):
+    from cladeworks.queries.relational import lineage_parse
+
+    given = [(1, "f__Aaceae", "g__Bus", "s__Bus cus"), (2, "Aaceae", "Bus", "cus"), (3, None, "g__Bus", "cus"), (4, "F__ Aaceae", " g__Bus", "Bus cus d_1")]
+    spark.createDataFrame(given, "row_id bigint, family string, genus string, species string").write.parquet(str(tmp_path / "genomes.parquet"))
+    got = {r["row_id"]: (r["family"], r["genus"], r["species"]) for r in lineage_parse(spark, str(tmp_path)).collect()}
+    assert got == {1: ("Aaceae", "Bus", "cus"), 2: ("Aaceae", "Bus", "cus"), 3: ("", "Bus", "cus"), 4: ("Aaceae", "Bus", "cusd-1")}
