@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -81,17 +82,63 @@ def transitions(rows: DataFrame, entity: str, value: str, stamp: str) -> DataFra
     return steps.groupBy(F.col("prev").alias("earlier"), F.col("v").alias("later")).agg(F.count("*").alias("n"))
 
 
+def heights(edges: list[tuple]) -> dict:
+    """Longest-path height of each value in a graph of (earlier, later); the values of a cycle are level.
+
+    Cycles are condensed first (Tarjan, without recursion); a component is above all components before it.
+    """
+    before: dict = {}
+    for u, v in edges:
+        before.setdefault(u, [])
+        before.setdefault(v, []).append(u)
+    index, low, of, stack, out = {}, {}, set(), [], {}
+    for root in sorted(before):
+        work = [] if root in index else [(root, iter(before[root]))]
+        if work:
+            index[root] = low[root] = len(index)
+            stack.append(root)
+            of.add(root)
+        while work:
+            v, rest = work[-1]
+            for u in rest:
+                if u not in index:
+                    index[u] = low[u] = len(index)
+                    stack.append(u)
+                    of.add(u)
+                    work.append((u, iter(before[u])))
+                    break
+                if u in of:
+                    low[v] = min(low[v], index[u])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[v])
+                if low[v] == index[v]:
+                    # components before this one are complete already
+                    k = stack.index(v)
+                    part, stack[k:] = stack[k:], []
+                    of.difference_update(part)
+                    h = max((out[u] + 1 for x in part for u in before[x] if u in out), default=0)
+                    out.update(dict.fromkeys(part, h))
+    return out
+
+
 def precedence(steps: DataFrame) -> DataFrame:
-    """(v, height): topological height of each value; a value precedes another if it is followed by it more often than not.
+    """(v, height): height of each value; a value precedes another if it is followed by it more often than not.
 
-    The height counts the values directly preceding, which on an acyclic order puts every value above all
-    it follows and on a cycle leaves its values level.
+    Cycles are condensed; the height is the longest chain of values below, so every value is above all it follows,
+    directly or through others, and the values of a cycle are level. One task works it out from the net
+    steps, one per pair of values.
     """
     back = steps.select(F.col("later").alias("earlier"), F.col("earlier").alias("later"), (-F.col("n")).alias("n"))
-    net = steps.unionByName(back).groupBy("earlier", "later").agg(F.sum("n").alias("net")).where("net > 0")
-    tops = net.groupBy(F.col("later").alias("v")).agg(F.count("*").alias("height"))
-    rest = net.select(F.col("earlier").alias("v"), F.lit(0).cast("long").alias("height"))
-    return tops.unionByName(rest).groupBy("v").agg(F.max("height").alias("height"))
+    net = steps.unionByName(back).groupBy("earlier", "later").agg(F.sum("n").alias("net")).where("net > 0").select("earlier", "later")
+    kind = steps.schema["earlier"].dataType.simpleString()
+
+    def made(x: pd.DataFrame) -> pd.DataFrame:
+        h = heights(list(zip(x["earlier"].tolist(), x["later"].tolist())))
+        return pd.DataFrame({"v": list(h), "height": list(h.values())})
+
+    return net.groupBy().applyInPandas(made, f"v {kind}, height long")
 
 
 def survivors(info: DataFrame, members: DataFrame, sources: DataFrame, learned: bool = False) -> DataFrame:
@@ -100,7 +147,7 @@ def survivors(info: DataFrame, members: DataFrame, sources: DataFrame, learned:
     The rows of a group form a partial order per field: higher trust of the source, then later
     assessment; dated rows are above undated ones. Among undated rows of equal trust nothing is
     known from time: with learned=True the precedence of their sources, learned from dated rows
-    of the same genomes, orders them; what is left, or all of it with learned=False, goes to
+    of the same genomes, orders them (of sources only: which value of a field follows which is not learned); what is left, or all of it with learned=False, goes to
     the smallest qc_id. Each field takes the greatest row with a usable value. Rows with a null or unknown
     genome or without a usable value give nothing; rows with null or unlisted sources rank last;
     groups without a usable value of a field have no row for it. Best rows are kept per genome first, so a

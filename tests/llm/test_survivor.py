@@ -65,3 +65,15 @@ def test_groups_follow_the_current_row(spark):
     ], "accession string, row_id bigint, updated_at timestamp, ingested_at timestamp, derep_status string, representative string")
     got = {tuple(r) for r in survivor.memberships(survivor.current_rows(g)).collect()}
     assert got == {("G", "Q.1"), ("Q.1", "Q.1")}
+
+
+def test_precedence_of_chains_and_cycles(spark):
+    def got(edges):
+        steps = spark.createDataFrame([(a, b, 1) for a, b in edges], "earlier string, later string, n bigint")
+        return {tuple(r) for r in survivor.precedence(steps).collect()}
+
+    assert got(["ab", "bc"]) == {("a", 0), ("b", 1), ("c", 2)}
+    assert got(["sa", "ab", "bc", "ca", "qb", "cz"]) == {("s", 0), ("q", 0), ("a", 1), ("b", 1), ("c", 1), ("z", 2)}
+    assert got([]) == set()
+    long = [(i, i + 1) for i in range(5000)]
+    assert survivor.heights(long) == {i: i for i in range(5001)} and set(survivor.heights([*long, (5000, 0)]).values()) == {0}
