@@ -69,3 +69,11 @@ def test_lineage_of_names_with_a_prefix(spark, tmp_path):
     spark.createDataFrame(given, "row_id bigint, family string, genus string, species string").write.parquet(str(tmp_path / "genomes.parquet"))
     got = {r["row_id"]: (r["family"], r["genus"], r["species"]) for r in lineage_parse(spark, str(tmp_path)).collect()}
     assert got == {1: ("Aaceae", "Bus", "cus"), 2: ("Aaceae", "Bus", "cus"), 3: ("", "Bus", "cus"), 4: ("Aaceae", "Bus", "cusd-1")}
+
+
+def test_wrap_of_full_lines(spark, tmp_path):
+    from cladeworks.queries.relational import sequence_wrap
+
+    spark.createDataFrame([(1, "ABCD"), (2, "ABCDE")], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    got = {r["n_nationkey"]: r["wrapped"] for r in sequence_wrap(spark, str(tmp_path)).collect()}
+    assert got == {1: "ABCD" * 20, 2: "ABCDE" * 16 + "\n" + "ABCDE" * 4}
