@@ -37,7 +37,7 @@ def lineage_struct(raw: Column) -> Column:
 def taxon_string(rank: str, name: Column) -> Column:
     """g__Name with the first word capitalised and the rest as given."""
     n = F.translate(F.trim(name), "_", " ")
-    return F.concat(F.lit(rank[0] + "__"), F.upper(F.substring(n, 1, 1)), F.substring(n, 2, 10_000))
+    return F.concat(F.lit(rank[0] + "__"), F.upper(F.substring(n, 1, 1)), F.substring(n, 2, F.length(n)))
 
 
 def token(name: Column) -> Column:

@@ -101,7 +101,7 @@ def props_parse(spark, sf):
 
 @query("""select p_partkey, reverse(translate(substr(regexp_replace(upper(p_name), '[^ACGT]', '', 'g'), 1, 40), 'ACGT', 'TGCA')) as rc from part""")
 def reverse_complements(spark, sf):
-    seq = F.substring(F.regexp_replace(F.upper("p_name"), "[^ACGT]", ""), 1, 40)
+    seq = F.regexp_replace(F.upper("p_name"), "[^ACGT]", "")
     return table(spark, sf, "part").select("p_partkey", text.reverse_complement(seq).alias("rc"))
 
 

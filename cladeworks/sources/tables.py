@@ -79,7 +79,7 @@ def distance_matrix(spark: SparkSession, path) -> DataFrame:
     heads = F.create_map(*(F.lit(x) for pair in zip(cols, raw.columns) for x in pair))
     long = raw.toDF(*cols).unpivot(cols[:1], cols[1:], "c", "d").select(F.col("c0").alias("row"), heads[F.col("c")].alias("col"), "d")
     return long.where(F.startswith("col", F.lit("S_")) & F.startswith("row", F.lit("O_"))).select(
-        F.substring("col", 3, 10_000).alias("s"), F.substring("row", 3, 10_000).alias("o"), F.col("d").try_cast("double").alias("d")
+        F.substring("col", 3, F.length("col")).alias("s"), F.substring("row", 3, F.length("row")).alias("o"), F.col("d").try_cast("double").alias("d")
     )
 
 

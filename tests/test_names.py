@@ -77,3 +77,13 @@ def test_wrap_of_full_lines(spark, tmp_path):
     spark.createDataFrame([(1, "ABCD"), (2, "ABCDE")], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
     got = {r["n_nationkey"]: r["wrapped"] for r in sequence_wrap(spark, str(tmp_path)).collect()}
     assert got == {1: "ABCD" * 20, 2: "ABCDE" * 16 + "\n" + "ABCDE" * 4}
+
+
+def test_long_names_stay_whole(spark, tmp_path):
+    from cladeworks.queries.relational import reverse_complements
+
+    long = "A" + "b" * 20_000
+    assert one(spark, long, lambda x: text.taxon_string("genus", x)) == "g__" + long
+    assert one(spark, "g__" + long, text.lineage_struct)["genus"] == long
+    spark.createDataFrame([(1, "ac" * 50)], "p_partkey int, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    assert reverse_complements(spark, str(tmp_path)).first()["rc"] == "GT" * 50
