@@ -91,8 +91,9 @@ def core_alignment(msa: DataFrame, name: str = "name", seq: str = "seq") -> Data
 def hamming(msa: DataFrame, name: str = "name", seq: str = "seq") -> DataFrame:
     """(a, b, d), a < b: number of columns in which two rows differ.
 
-    Rows meet only through variable columns. In each column rows are gathered by character, and only
-    rows that differ there make a pair; equal rows have distance 0 by their absence from the sum.
+    Rows meet only through variable columns. In each of them every row is joined with every other, equal characters
+    included, so the work is the square of the rows times the variable columns; equal rows have distance 0
+    if there is a variable column at all.
     """
     s = sites(msa, name, seq).join(variable_sites(msa, name, seq), "pos")
     a = s.select("pos", F.col("name").alias("a"), F.col("c").alias("ca"))
