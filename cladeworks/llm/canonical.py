@@ -12,6 +12,7 @@ import re
 import sys
 import unicodedata as ud
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,20 +20,11 @@ from pyspark.sql import functions as F
 
 from ..session import cut, spread, table
 
-#: Letters of other alphabets and the Latin letters of the same shape.
-SAME_SHAPE = {
-    # Cyrillic
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j",
-    "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l", "ѵ": "v", "ү": "y",
-    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T",
-    "У": "Y", "Х": "X", "Ѕ": "S", "І": "I", "Ј": "J", "Ӏ": "I", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "Ѵ": "V", "Ү": "Y",
-    # Greek
-    "α": "a", "γ": "y", "ι": "i", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "υ": "u", "ϳ": "j",
-    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O",
-    "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϳ": "J",
-    # Armenian
-    "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g", "զ": "q", "յ": "j", "Օ": "O", "Տ": "S", "Ս": "U",
-}
+#: Same shapes to which the confusables data gives another prototype, because they are like two
+#: letters or because the data compares fonts rather than letters.
+MORE_SHAPES = {"ӏ": "l", "Ԛ": "Q", "յ": "j", "ꓲ": "I"}
+#: Blocks of phonetic letters, which have Latin names but are an alphabet of their own.
+PHONETIC = ((0x0250, 0x02AF), (0x1D00, 0x1DBF), (0xAB30, 0xAB6F))
 #: Characters without a width that are not format characters.
 INVISIBLE = "͏ᅟᅠ឴឵᠋᠌᠍᠏ㅤﾠ"
 #: Format characters that are drawn.
@@ -49,9 +41,70 @@ def _invisible(c: str) -> bool:
     )
 
 
+def alphabet(c: str) -> str:
+    n = ord(c)
+    if any(a <= n <= b for a, b in PHONETIC):
+        return "PHONETIC"
+    return ud.name(c, "").split(" ")[0]
+
+
+def _letter(c: str) -> bool:
+    return ud.category(c) in ("Lu", "Ll", "Lo")
+
+
+def same_shapes(prototypes: Callable[[list[str]], list[str]]) -> dict[str, str]:
+    """Letters of all alphabets and the letter of another alphabet that has the same shape.
+
+    prototypes: for each character the prototype that the Unicode confusables data (UTS #39) has for it.
+    A letter goes to the ASCII letter with its prototype, of two (I and l) to the one of its case, or else to its
+    prototype if that is one letter in either case. Only letters of different alphabets are brought together: I, l and
+    1, O and 0, rn and m stay apart, and so do letters of one alphabet.
+    """
+    plain = [chr(n) for n in range(0x41, 0x7B) if chr(n).isalpha()]
+    # ideographs are prototypes of letters, but no letter is a prototype of an ideograph; parts of Hangul syllables
+    # must stay what they are
+    other = [
+        c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, sys.maxunicode + 1)])
+        if _letter(c) and not ud.name(c, "").startswith(("CJK", "HANGUL")) and ud.is_normalized("NFKD", c)
+    ]
+    found = prototypes([*plain, *other])
+    latin: dict[str, list[str]] = {}
+    for c, p in zip(plain, found):
+        latin.setdefault(p, []).append(c)
+    out = {}
+    for c, p in zip(other, found[len(plain) :]):
+        if p in latin:
+            case = str.isupper if ud.category(c) == "Lu" else str.islower
+            to = next(filter(case, latin[p]), latin[p][0])
+        elif len(p) == 1 and _letter(p):
+            to = p
+        else:
+            continue
+        if alphabet(c) != alphabet(to) and len(to.casefold()) == 1:
+            out[c] = to
+    return out | MORE_SHAPES
+
+
+def icu_prototypes(chars: list[str]) -> list[str]:
+    """Prototypes by the confusables data in the ICU library that Spark brings along."""
+    from pyspark import SparkContext
+
+    context = SparkContext._active_spark_context
+    if context is None:
+        raise RuntimeError("look-alike letters are read from Spark's JVM: start a session on this driver first")
+    checker = getattr(context._jvm, "com.ibm.icu.text.SpoofChecker$Builder")().build()
+    return checker.getSkeleton("\n".join(chars)).split("\n")
+
+
+@cache
+def shapes() -> dict[str, str]:
+    return same_shapes(icu_prototypes)
+
+
+@cache
 def tables() -> tuple[dict[int, str], str]:
     """(what single characters become after decomposition, the class of unstable characters as ranges)."""
-    small = {ord(a): b for a, b in SAME_SHAPE.items()}
+    small = {ord(a): b for a, b in shapes().items()}
     joins = set(map(chr, [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]))
     chars = [chr(n) for n in range(sys.maxunicode + 1) if not 0xD800 <= n < 0xE000]
     for c in chars:
