@@ -23,8 +23,11 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str, canonical: Callable[[str], str]) -> list[str]:
-    """Runs of letters and digits of the consistent form, case ignored."""
-    return _WORD.findall(canonical(text).casefold())
+    """Runs of letters and digits of the consistent form, case ignored.
+
+    The form is taken again after folding, as a capital may have no look-alike where its small letter has one.
+    """
+    return _WORD.findall(canonical(canonical(text).casefold()))
 
 
 def rolling(ids: np.ndarray, width: int) -> np.ndarray:

@@ -1,11 +1,16 @@
 import random
 
 import numpy as np
+import pytest
 
 from cladeworks.llm import leaks as lk
 from cladeworks.llm.canonical import canonicaliser, tables
 
-FORM = canonicaliser(tables())
+pytestmark = pytest.mark.usefixtures("spark")
+
+
+def FORM(text):
+    return canonicaliser(tables())(text)
 
 
 def shares(a, b, width):
