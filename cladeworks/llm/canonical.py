@@ -137,26 +137,47 @@ def _settle(small: dict[int, str]) -> Callable[[str], str]:
     return settle
 
 
+class _Segments(dict):
+    """The consistent form of segments, short ones remembered for a bounded number."""
+
+    def __init__(self, made: tuple[dict[int, str], str]):
+        super().__init__()
+        self.settle, self.runs = _settle(made[0]), re.compile(f"[{made[1]}]+")
+
+    def __missing__(self, segment: str) -> str:
+        out, done = [], 0
+        for m in self.runs.finditer(segment):
+            first = max(m.start() - 1, done)
+            out += segment[done:first], self.settle(segment[first : m.end()])
+            done = m.end()
+        made = "".join(out) + segment[done:] if done else segment
+        if len(segment) <= 32:
+            if len(self) >= 200_000:
+                self.clear()
+            self[segment] = made
+        return made
+
+
+#: All but ASCII, and its control characters that are no white space.
+_ODD = re.compile(r"[^\x09-\x0d\x1c-\x7e]+")
+
+
 def canonicaliser(made: tuple[dict[int, str], str]) -> Callable[[str], str]:
     """The function that brings a text into the consistent form.
 
     Compatibility forms, composed and combining accents, invisible characters, kinds of space
     and look-alike letters are made one; case, punctuation, accents, line breaks, tabs and the
     number of spaces stay. A stable character starts afresh: nothing before it can change it, so
-    one stable character before an unstable run is context enough.
+    one stable character before an unstable run is context enough. All ASCII is stable, so unstable
+    characters are looked for only in stretches of other characters, with the one before them.
     """
-    small, unstable = made
-    settle = _settle(small)
-    runs = re.compile(f"[{unstable}]+")
-    control = re.compile("[\\0-\\x08\\x0e-\\x1b\\x7f]")
+    segments = _Segments(made)
 
     def canonical(text: str) -> str:
-        if text.isascii() and not control.search(text):
-            return text
         out, done = [], 0
-        for m in runs.finditer(text):
+        for m in _ODD.finditer(text):
             first = max(m.start() - 1, done)
-            out += text[done:first], settle(text[first : m.end()])
+            out += text[done:first], segments[text[first : m.end()]]
             done = m.end()
         return "".join(out) + text[done:] if done else text
 
