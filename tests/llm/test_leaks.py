@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -42,8 +43,8 @@ def test_tiles_are_greedy():
     r = random.Random(4)
     for _ in range(60):
         item, doc = [r.choice([1, 2, 3]) for _ in range(25)], [r.choice([1, 2, 3]) for _ in range(30)]
-        seeds = [(p, t) for p in range(23) for t in range(28) if item[p : p + 3] == doc[t : t + 3]]
-        got = lk.tiles(np.array(item), np.array(doc), seeds, 3)
+        got = lk.tiles(np.array(item), np.array(doc), 3)
+        assert got == lk.tiles(np.array(item), np.array(doc), 3, most=5)
         want = brute_tiles(item, doc, 3)
         assert sorted(n for *_, n in got) == sorted(n for *_, n in want)
         for p, t, n in got:
@@ -80,8 +81,10 @@ def test_found_against_brute_force(spark, monkeypatch):
         if a is not None and t and q and shares(lk.words(t, FORM), lk.words(q, FORM), 12)
     }
     assert want
-    for size in (16_000_000, 300):
-        monkeypatch.setattr(lk, "PASS_CHARS", size)
+    for table_bytes, sent in ((lk.TABLE_BYTES, lk.SENT_CHARS), (512, 0)):
+        # a table too small for the windows and items joined by a shuffle give the same
+        monkeypatch.setattr(lk, "TABLE_BYTES", table_bytes)
+        monkeypatch.setattr(lk, "SENT_CHARS", sent)
         got = [(r["doc_id"], r["item_id"]) for r in lk.leaks(d, i).collect()]
         assert set(got) == want and len(got) == len(want)
     assert lk.leaks(d.limit(0), i).collect() == [] and lk.leaks(d, i.limit(0)).collect() == []
@@ -89,7 +92,27 @@ def test_found_against_brute_force(spark, monkeypatch):
 
 def test_reordered_passages_are_covered():
     text = [f"a{k}" for k in range(40)]
-    index = lk.build_index([(7, " ".join(text))], FORM)
-    moved = lk.words(" ".join([*text[20:], "between", *text[:20]]), FORM)
-    assert lk.match(index, moved) == [(7, 40, 2, 40, 20)]
-    assert lk.match(index, moved[:11]) == []
+    moved = [*text[20:], "between", *text[:20]]
+    assert lk.tile_pair(text, [moved], 12) == (2, 40, 20)
+    assert lk.tile_pair(text, [moved[:11]], 12) == (0, 0, 0)
+    assert lk.tile_pair(text, [text[:15], text[15:30]], 12) == (2, 30, 15)
+
+
+def test_spans_join_where_they_touch():
+    assert lk.spans(np.array([3, 4, 9, 21, 40]), 12) == [(3, 33), (40, 52)]
+    assert lk.spans(np.array([], int), 12) == []
+
+
+def test_text_that_repeats_itself_stays_quick():
+    for item, doc in ((600, 2000), (1200, 4000)):
+        began = time.process_time()
+        assert lk.tile_pair(["ab"] * item, [["ab"] * doc], 12) == (1, item, item)
+        assert lk.tile_pair(["a", "b"] * (item // 2), [["a", "b"] * (doc // 2)], 12) == (1, item, item)
+        assert time.process_time() - began < 5
+
+
+def test_bits_hold_all_windows(spark):
+    h = [random.Random(k).getrandbits(63) for k in range(3000)]
+    held = lk.bit_table(spark.createDataFrame([(x,) for x in h], "h bigint"), len(h))
+    other = np.array([random.Random(-k).getrandbits(63) for k in range(5000, 105000)], np.uint64)
+    assert len(lk.passing(np.array(h, np.uint64), held)) == len(h) and len(lk.passing(other, held)) < 100
