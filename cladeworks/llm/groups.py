@@ -12,17 +12,14 @@ from ..session import cut, drop_cut, table
 
 
 def _order_hash(x: Column, round_no: int, seed: int) -> Column:
-    """A one-to-one map of 64-bit integers, fresh for each round.
+    """A keyed one-to-one map of 64-bit integers, with a fresh key for each round.
 
-    A random constant is added without carry, then xor-shift steps mix; each is invertible, so
-    hashes of different vertices differ and can serve as the vertices' names in the next round.
+    For one 8-byte value XXH64 is a chain of steps that can each be undone (multiplication by odd numbers, rotation,
+    xor with a shift of itself), whatever its key; so hashes of different vertices differ and can serve as the
+    vertices' names in the next round. The key goes through multiplications, so the orders of two rounds
+    have nothing in common that a graph could be built around.
     """
-    x = x.bitwiseXOR(F.lit(random.Random(f"{seed}-{round_no}").getrandbits(63)))
-    for left, right, last in ((13, 7, 17), (21, 35, 4))[: 1 + round_no % 2]:
-        x = x.bitwiseXOR(F.shiftleft(x, left))
-        x = x.bitwiseXOR(F.shiftrightunsigned(x, right))
-        x = x.bitwiseXOR(F.shiftleft(x, last))
-    return x
+    return F.xxhash64(F.lit(random.Random(f"{seed}-{round_no}").getrandbits(63)), x)
 
 
 def hooks(edges: DataFrame, round_no: int, seed: int) -> DataFrame:
@@ -39,9 +36,9 @@ def contract(edges: DataFrame, seed: int = 0) -> list[DataFrame]:
     """The mappings (v, r) of all rounds; edges: (a, b) BIGINT, a != b, repeats allowed.
 
     Each round hooks every vertex to the least hash in its closed neighbourhood, renames both
-    ends of every edge, drops loops and repeats. In expectation at least a quarter of the
-    vertices of each component vanish in a round, whatever its shape. Vertices without a
-    remaining edge are done. Large vertices are split by the skew join of adaptive execution;
+    ends of every edge, drops loops and repeats. Under a random order at least a quarter of the
+    vertices of each component are expected to vanish in a round, whatever its shape; tests measure the rounds
+    on paths, stars and grids. Vertices without a remaining edge are done. Large vertices are split by the skew join of adaptive execution;
     minima are combined before the shuffle.
     """
     maps, round_no = [], 0

@@ -57,3 +57,16 @@ def test_links_read_all_name_forms(spark):
     c = spark.createDataFrame([("genomes/F_g_s_A.1.fasta.gz ", "/x/E.1.fa"), ("representative", "member")], "representative string, member string")
     got = {tuple(r) for r in groups.genome_links(g, c).collect()}
     assert got == {("A.1", "B.1"), ("B.1", None), ("C.1", None), ("D.1", "C.1"), ("A.1", "E.1"), ("representative", "member")}
+
+
+def test_rounds_on_paths_stars_and_grids(spark):
+    """A quarter of the vertices is expected to go in a round; so many rounds are far beyond that."""
+    path = [(i, i + 1) for i in range(2000)]
+    star = [(0, i) for i in range(1, 2000)]
+    grid = [(40 * i + j, 40 * i + j + 1) for i in range(40) for j in range(39)] + [(40 * i + j, 40 * (i + 1) + j) for i in range(39) for j in range(40)]
+    for edges, most in ((path, 14), (star, 14), (grid, 14)):
+        maps = groups.contract(spark.createDataFrame(edges, "a bigint, b bigint"), 5)
+        assert len(maps) <= most, len(maps)
+        n = len({v for e in edges for v in e})
+        ends = groups.expand(maps).collect()
+        assert len(ends) == n and len({(r["level"], r["r"]) for r in ends}) == 1
