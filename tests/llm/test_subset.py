@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -51,9 +52,15 @@ def test_even_cells(spark, monkeypatch):
     targets = [(1, "all", None, 7, 0), (2, "ALL ", "x", 60, 0), (3, "family", "fb", 25, 0), (4, "genus", "g__G1", 10_000, 0), (5, "genus", None, 5, 0),
                (6, "all", None, None, 0), (7, "all", None, 0, 0), (8, "species", "hot", 9, 0), (9, "family", "none", 9, 0)]
     scopes = {1: lambda c: True, 2: lambda c: True, 3: lambda c: c[0] == "fb", 4: lambda c: c[1] == "g1"}
+    whole = None
     for slice_rows in (100_000, 7):
         monkeypatch.setattr(subset, "SLICE_ROWS", slice_rows)
         got = picks(spark, rows, targets)
+        # the slices change nothing, down to the last record and rank
+        whole = whole or got
+        assert {t: sorted(v) for t, v in got.items()} == {t: sorted(v) for t, v in whole.items()}
+        for c, a, rank, _ in got[4]:
+            assert rank == sorted(members[c], key=lambda x: hashlib.md5(x.encode()).hexdigest()).index(a) + 1
         assert set(got) == {1, 2, 3, 4}
         for t, inside in scopes.items():
             m = {c: a for c, a in members.items() if inside(c)}
