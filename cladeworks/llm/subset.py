@@ -20,7 +20,8 @@ def spellings(genomes: DataFrame) -> DataFrame:
 
     Ways with a null or blank name are left out.
     """
-    raw = genomes.select(*(F.col(c).alias(c[0]) for c in KEY)).dropna().distinct()
+    # written, so that the filter on canonical names isn't pushed below distinct and worked out for every row
+    raw = cut(genomes.select(*(F.col(c).alias(c[0]) for c in KEY)).dropna().distinct())
     return raw.select(
         "f", "g", "s", names.rank_name(F.col("f")).alias("family"), names.rank_name(F.col("g")).alias("genus"),
         names.species_name(F.col("s"), F.col("g")).alias("species"),
