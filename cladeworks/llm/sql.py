@@ -53,8 +53,43 @@ select representative, field_name, qc_id from (select m.rep as representative, v
 
 
 SQL["p4_found"] = _survivors("", "")
-SQL["p4_currency"] = _survivors("case when v.assessed_at is null then coalesce(p.height, -1) else 0 end desc,", """,
-lagged as (select v, lag(v) over (partition by e order by t, v) as prev from raw where e is not null),
-steps as (select prev as a, v as b, count(*) as n from lagged where prev is not null and prev != v group by all),
-net as (select a, b, sum(n) as net from (select a, b, n from steps union all select b, a, -n from steps) group by a, b having sum(n) > 0),
-prec as (select v, max(h) as height from (select b as v, count(*) as h from net group by b union all select a, 0 from net) group by v)""").replace("v.src", "v.source").replace("s.trust, s.source from", "s.trust, lower(trim(i.qc_source)) as source from")
+
+
+def _currency() -> str:
+    """p4_currency by its definition: net steps between values of dated rows, who is reached from whom, values that reach
+    each other made one, and the longest chain below each."""
+    def value(f, test):
+        x = f"try_cast(case when regexp_full_match({f}, '\\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*') then trim({f}) end as double)"
+        return f"(select x from (select case when isfinite({x}) then {x} end as x) where {test.replace('#', 'x')})"
+
+    tests = {
+        "completeness": ("# >= 0 and # <= 100", "floor(x * 0.2::double)"), "contamination": ("# >= 0 and # <= 100", "floor(x * 0.2::double)"), "genome_length": ("# > 0", "D"), "n50": ("# > 0", "D"),
+        "centrality": ("# > 0 and # <= 1", "floor(x * 20.0::double)"),
+    }
+    values = " union all ".join(
+        f"select qc_id, accession, trust, assessed_at, '{f}' as field_name, {b.replace('D', 'length(bin(floor(least(x, 9e18::double))::bigint))')}::bigint as v from (select *, {value(f, t)} as x from info) where x is not null"
+        for f, (t, b) in tests.items()
+    )
+    more = """,
+lagged as (select field_name as f, v, lag(v) over (partition by accession, field_name order by assessed_at, v) as prev from (select distinct accession, field_name, assessed_at, v from vals where assessed_at is not null and accession is not null)),
+steps as (select f, prev as a, v as b, count(*) as n from lagged where prev is not null and prev != v group by all),
+net as (select f, a, b from (select f, a, b, n from steps union all select f, b, a, -n from steps) group by all having sum(n) > 0),
+reach(f, a, b) as (select f, a, b from net union select r.f, r.a, n.b from reach r join net n on n.f = r.f and n.a = r.b),
+ends as (select distinct f, unnest([a, b]) as v from net),
+one as (select e.f, e.v, least(e.v, min(r.b)) as c from ends e left join (select x.f, x.a, x.b from reach x join reach y on x.f = y.f and x.a = y.b and x.b = y.a) r on r.f = e.f and r.a = e.v group by e.f, e.v),
+dag as (select distinct n.f, p.c as a, q.c as b from net n join one p on p.f = n.f and p.v = n.a join one q on q.f = n.f and q.v = n.b where p.c != q.c),
+up(f, c, h) as (select distinct f, c, 0 from one union select u.f, d.b, u.h + 1 from up u join dag d on d.f = u.f and d.a = u.c),
+prec as (select o.f, o.v, max(u.h) as height from one o join up u on u.f = o.f and u.c = o.c group by o.f, o.v)"""
+    return f"""with recursive cur as (select * from (select *, row_number() over (partition by accession order by updated_at desc, ingested_at desc, row_id desc) as rn from genomes where accession is not null) where rn = 1),
+held as (select accession, {acc('representative')} as rep from cur where lower(trim(derep_status)) = 'contained'),
+pairs as (select accession, rep from held where rep != accession and rep in (select accession from cur)),
+member as (select accession, rep from pairs union select rep, rep from pairs),
+src as (select lower(trim(qc_source)) as source, max(trust) as trust from qc_sources group by 1),
+info as (select i.*, {acc('genome')} as accession, s.trust from genome_information i left join src s on s.source = lower(trim(i.qc_source))),
+vals as ({values}){more}
+select representative, field_name, qc_id from (select m.rep as representative, v.field_name, v.qc_id,
+ row_number() over (partition by m.rep, v.field_name order by v.trust desc nulls last, v.assessed_at desc nulls last, case when v.assessed_at is null then coalesce(p.height, -1) else 0 end desc, v.qc_id) as n
+ from vals v join member m on m.accession = v.accession left join prec p on p.f = v.field_name and p.v = v.v) where n = 1"""
+
+
+SQL["p4_currency"] = _currency()
