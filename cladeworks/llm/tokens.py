@@ -27,12 +27,17 @@ LONG = 100_000
 
 
 def vocabulary_path(name: str, folder: str | None = None) -> str:
-    """The place of a vocabulary file: in `folder`, in $TOKENIZER_DIR, or in the installed package."""
+    """The place of a vocabulary file: in `folder`, in $TOKENIZER_DIR, or in the installed package public_tokenizers.
+
+    A file that isn't there is an error that names these settings.
+    """
     folder = folder or os.environ.get("TOKENIZER_DIR")
-    if not folder:
-        spec = importlib.util.find_spec("public_tokenizers")
-        folder = os.path.dirname(spec.origin) if spec else "/opt/tokenizers"
-    return os.path.join(folder, name)
+    if not folder and (spec := importlib.util.find_spec("public_tokenizers")):
+        folder = os.path.dirname(spec.origin)
+    path = os.path.join(folder or "", name)
+    if not folder or not os.path.isfile(path):
+        raise FileNotFoundError(f"no vocabulary {name} in {folder or 'any known folder'}: give its folder as folder=, set TOKENIZER_DIR, or install public_tokenizers")
+    return path
 
 
 _LOADED: dict[str, object] = {}

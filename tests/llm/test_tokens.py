@@ -43,3 +43,8 @@ def test_frame(spark):
     assert by[2] == [] and by[3] == [] and by[1] == enc().encode_ordinary("a b") and by[4] == [220] and 50256 not in by[5]
     assert tokens.decode(enc(), by[6]) == big.encode() and tokens.decode(enc(), by[7]) == (" " * 300_000 + "x").encode()
     assert tokens.token_ids(df.limit(0)).collect() == []
+
+
+def test_missing_vocabulary_names_the_setting(tmp_path):
+    with pytest.raises(FileNotFoundError, match="TOKENIZER_DIR"):
+        tokens.vocabulary_path("none.tiktoken", str(tmp_path))
