@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,23 +21,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in spark.checkpoint.dir.
 
-    Only where the setting is absent (tests, one machine) a local folder is made.
+    Only on one machine (master local) may the setting be absent; then a temporary folder is made. Elsewhere
+    each executor would write to its own disk, so its absence is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         found = os.path.join(tempfile.gettempdir(), f"cladeworks-{os.getuid()}-{os.getpid()}")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+_CUTS: list[str] = []
+
+
 def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
     It cuts the lineage like a checkpoint, survives the loss of executors, and as a
-    compressed columnar table takes less disk than checkpointed rows.
+    compressed columnar table takes less disk than checkpointed rows. release() deletes what was written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    _CUTS.append(path)
     w = df.write.option("compression", "zstd")
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -44,13 +53,31 @@ def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _CUTS:
+        _CUTS.remove(path)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the table behind a frame made by cut(); nothing may read it afterwards."""
     path = getattr(df, "_cut_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)
+
+
+def mark() -> int:
+    """The place to give to release(), so that only tables written from here on are deleted."""
+    return len(_CUTS)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables cut() wrote since mark(); call it when the results that read them are written. Gives their number."""
+    paths = _CUTS[since:]
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
