@@ -1,8 +1,9 @@
 """Per-key results when a few keys hold most rows: dense accumulator arrays.
 
-Keys are dictionary-encoded; every input split, whatever keys it holds, reduces its rows into
-arrays indexed by code; the arrays travel in blocks and are reduced block by block. The work
-of a task depends on the size of its split alone, never on a key's share of the rows.
+Every input split, whatever keys it holds, numbers the spellings it meets and reduces its rows into
+arrays indexed by that number. The dictionary of keys is a table with dense codes; the splits' arrays are
+renumbered by it, cut into blocks of codes and added up block by block. The work of a task depends on the
+size of its split alone, never on a key's share of the rows, and nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -19,14 +20,14 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..session import cut, splits, table
+from .compose import positions
 
-#: Spellings that are encoded on every executor; beyond it the salted aggregate below is used.
-MAX_SPELLINGS = 500_000
+#: Spellings a task numbers at once; when it has met more it hands on its arrays and starts anew.
+HELD = 500_000
 #: Codes in a block that is shuffled as one row.
 BLOCK = 4096
 #: Above this number of splits blocks are reduced in two steps.
 FAN_IN = 256
-SALTS = 64
 
 _MIN, _MAX = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 
@@ -48,31 +49,81 @@ def _merge(how: str, into: np.ndarray, x: np.ndarray) -> None:
     {"sum": np.add, "min": np.minimum, "max": np.maximum}[how](into, x, out=into)
 
 
-def _accumulate(spellings: pa.Array, codes: np.ndarray, n: int, hows: list[str]) -> Callable:
-    """Reduce the batches of one split; slot n takes the rows without a key."""
+def _scatter(how: str, into: np.ndarray, at: np.ndarray, x: np.ndarray) -> None:
+    {"sum": np.add, "min": np.minimum, "max": np.maximum}[how].at(into, at, x)
+
+
+def _accumulate(n_raw: int, hows: list[str], raw: list[str], held: int) -> Callable:
+    """Reduce the batches of one split: (raw columns, body), one row for each spelling it met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = np.append(codes, n)
-        acc = [np.full(n + 1, _start(h), np.int64) for h in ["sum", *hows]]
+        numbers: dict[tuple, int] = {}
+        acc = [np.full(1024, _start(h), np.int64) for h in ["sum", *hows]]
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            told = list(numbers)
+            for first in range(0, len(told), 65_536):
+                part = told[first : first + 65_536]
+                cols = [pa.array([t[k] for t in part], pa.string()) for k in range(n_raw)]
+                cols += [pa.array(a[first : first + len(part)]) for a in acc]
+                yield pa.RecordBatch.from_arrays(cols, [*raw, *(f"a{k}" for k in range(len(acc)))])
+            numbers.clear()
+            for k, h in enumerate(["sum", *hows]):
+                acc[k] = np.full(1024, _start(h), np.int64)
+
         for b in batches:
-            at = pc.fill_null(pc.index_in(b.column(0), value_set=spellings), len(codes))
-            code = lookup[at.to_numpy(zero_copy_only=False)]
-            acc[0] += np.bincount(code, minlength=n + 1)
-            for k, how in enumerate(hows, 1):
-                there = b.column(k).is_valid().to_numpy(zero_copy_only=False)
-                x = pc.fill_null(b.column(k), 0).to_numpy(zero_copy_only=False)[there]
-                if how == "sum":
-                    np.add.at(acc[k], code[there], x)
+            # the batch's spellings by number: the columns' codes as one number of mixed radix
+            code, words = np.zeros(b.num_rows, np.int64), []
+            for k in range(n_raw):
+                d = b.column(k).dictionary_encode()
+                words.append([*d.dictionary.to_pylist(), None])
+                at = pc.fill_null(d.indices, len(words[-1]) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+                code, code_at = np.unique(code * len(words[-1]) + at, return_inverse=True)
+                if k == 0:
+                    parts = [code]
                 else:
-                    (np.minimum if how == "min" else np.maximum).at(acc[k], code[there], x)
+                    # what each number was made of, column by column
+                    parts = [p[code // len(words[-1])] for p in parts] + [code % len(words[-1])]
+                code = code_at
+            if not b.num_rows:
+                continue
+            told = list(zip(*([w[i] for i in p] for w, p in zip(words, parts))))
+            slot = np.fromiter((numbers.setdefault(t, len(numbers)) for t in told), np.int64, len(told))
+            while len(numbers) > len(acc[0]):
+                acc = [np.concatenate([a, np.full(len(a), _start(h), np.int64)]) for a, h in zip(acc, ["sum", *hows])]
+            acc[0][slot] += np.bincount(code, minlength=len(told))
+            for k, how in enumerate(hows, 1):
+                there = b.column(n_raw + k - 1).is_valid().to_numpy(zero_copy_only=False)
+                x = pc.fill_null(b.column(n_raw + k - 1), 0).to_numpy(zero_copy_only=False)[there]
+                _scatter(how, acc[k], slot[code[there]], x)
+            if len(numbers) > held:
+                yield from hand_on()
+        yield from hand_on()
+
+    return run
+
+
+def _blocks(hows: list[str]) -> Callable:
+    """Coded partial results to blocks of dense arrays; code -1 takes the rows without a key and is block -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        kinds = ["sum", *hows]
+        for b in batches:
+            code = b.column(0).to_numpy(zero_copy_only=False)
+            values = [b.column(k).to_numpy(zero_copy_only=False) for k in range(1, len(kinds) + 1)]
+            block = code // BLOCK
+            for one in np.unique(block).tolist():
+                if one not in sums:
+                    sums[one] = np.stack([np.full(BLOCK, _start(h), np.int64) for h in kinds])
+                here = np.flatnonzero(block == one)
+                for k, how in enumerate(kinds):
+                    _scatter(how, sums[one][k], code[here] - one * BLOCK, values[k][here])
         part = TaskContext.get().partitionId()
-        for first in range(0, n + 1, BLOCK):
-            rows = acc[0][first : first + BLOCK]
-            if rows.any():
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([first // BLOCK], pa.int32()), "part": pa.array([part], pa.int32()),
-                    "body": pa.array([np.stack([a[first : first + BLOCK] for a in acc]).tobytes()], pa.binary()),
-                })
+        for one, x in sums.items():
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array([one], pa.int64()), "part": pa.array([part], pa.int32()), "body": pa.array([x.tobytes()], pa.binary()),
+            })
 
     return run
 
@@ -93,7 +144,7 @@ def _reduce(hows: list[str], last: bool, fields: list[str]) -> Callable:
         for block, x in sorted(sums.items()):
             if not last:
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block], pa.int32()), "part": pa.array([0], pa.int32()), "body": pa.array([x.tobytes()], pa.binary()),
+                    "block": pa.array([block], pa.int64()), "part": pa.array([0], pa.int32()), "body": pa.array([x.tobytes()], pa.binary()),
                 })
                 continue
             at = np.flatnonzero(x[0])
@@ -105,58 +156,37 @@ def _reduce(hows: list[str], last: bool, fields: list[str]) -> Callable:
     return run
 
 
-def per_key(
-    df: DataFrame, raw: list[str], keys: dict[str, Column], measures: list[Measure] = (), max_spellings: int = MAX_SPELLINGS
-) -> DataFrame:
+def per_key(df: DataFrame, raw: list[str], keys: dict[str, Column], measures: list[Measure] = (), held: int = HELD) -> DataFrame:
     """(keys, n_rows, measures): results of each key over all rows of df, and one row of null keys for the rows without.
 
     raw: the columns the keys are read from. keys: canonical key columns over raw; a row counts
     as without key where one of them is null. Only the distinct spellings of raw are brought
-    into canonical form. More than max_spellings of them are not sent to the executors: then
-    rows are pre-aggregated in salted groups. An empty table gives an empty result.
+    into canonical form. A split that meets more than `held` spellings hands on its arrays in between; the
+    result is the same. An empty table gives an empty result.
     """
     measures = list(measures)
-    hows = [m.how for m in measures]
+    hows, n = [m.how for m in measures], len(raw)
+    texts = [F.col(c).cast("string").alias(f"r{k}") for k, c in enumerate(raw)]
+    split = df.select(*texts, *(m.value.cast("bigint").alias(f"m{k}") for k, m in enumerate(measures)))
+    sums = ", ".join(f"a{k} bigint" for k in range(len(hows) + 1))
+    kinds = ", ".join(f"r{k} string" for k in range(n))
+    partial = cut(split.mapInArrow(_accumulate(n, hows, [f"r{k}" for k in range(n)], held), f"{kinds}, {sums}"))
     # each value with its length before it, so that different values never give one spelling
-    told = F.concat(*(F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (F.col(x).cast("string") for x in raw)))
-    spelled = cut(df.select(*raw).distinct())
-    if spelled.count() > max_spellings:
-        return _salted(df, keys, measures)
-    spelled = spelled.select(told.alias("spelling"), *(k.alias(n) for n, k in keys.items())).dropna()
-    found = spelled.toPandas().sort_values([*keys, "spelling"], ignore_index=True)
-    codes = found.groupby(list(keys), sort=False).ngroup().to_numpy() if len(found) else np.zeros(0, np.int64)
-    n = int(codes.max()) + 1 if len(codes) else 0
-    split = df.select(told.alias("spelling"), *(m.value.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)))
-    values = pa.array(found["spelling"].tolist(), pa.string())
-    blocks = split.mapInArrow(_accumulate(values, codes, n, hows), "block int, part int, body binary")
+    told = F.concat(*(F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (F.col(f"r{k}") for k in range(n))))
+    partial = partial.withColumn("told", told)
+    spelled = partial.select(*(F.col(f"r{k}").alias(c) for k, c in enumerate(raw)), "told").distinct()
+    spelled = cut(spelled.select("told", *(k.alias(c) for c, k in keys.items())))
+    named = positions(spelled.select(*keys).dropna().distinct(), *keys, name="code")
+    codes = spelled.dropna().join(named, list(keys)).select("told", "code")
+    coded = partial.join(codes, "told", "left").select(F.coalesce("code", F.lit(-1)).cast("bigint").alias("code"), *(f"a{k}" for k in range(len(hows) + 1)))
+    shape = "block bigint, part int, body binary"
+    blocks = coded.mapInArrow(_blocks(hows), shape)
     parts = splits(split)
     if parts > FAN_IN:
-        blocks = blocks.repartition("block", F.col("part") % int(parts**0.5)).mapInArrow(
-            _reduce(hows, False, []), "block int, part int, body binary"
-        )
+        blocks = blocks.repartition("block", F.col("part") % int(parts**0.5)).mapInArrow(_reduce(hows, False, []), shape)
     fields = ["code", "n_rows", *(m.name for m in measures)]
     dense = blocks.repartition("block").mapInArrow(_reduce(hows, True, fields), ", ".join(f"`{f}` bigint" for f in fields))
-    named = found.assign(code=codes).drop_duplicates("code")[["code", *keys]]
-    rows = [(int(r[0]), *r[1:]) for r in named.itertuples(index=False)]
-    lookup = df.sparkSession.createDataFrame(rows, "code bigint, " + ", ".join(f"`{k}` string" for k in keys))
-    return dense.join(F.broadcast(lookup), "code", "left").select(*keys, *fields[1:])
-
-
-def _salted(df: DataFrame, keys: dict[str, Column], measures: list[Measure]) -> DataFrame:
-    """The way for more keys than fit an executor: combine in salted groups, then across salts."""
-    agg = {"sum": F.sum, "min": F.min, "max": F.max}
-    missing = F.lit(False)
-    for k in keys.values():
-        missing = missing | k.isNull()
-    rows = df.select(
-        *(F.when(~missing, k).alias(n) for n, k in keys.items()), *(m.value.cast("bigint").alias(m.name) for m in measures)
-    )
-    part = rows.groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt")).agg(
-        F.count("*").alias("n_rows"), *(agg[m.how](m.name).alias(m.name) for m in measures)
-    )
-    out = part.groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"), *(agg[m.how](m.name).alias(m.name) for m in measures))
-    zero = {m.name: 0 for m in measures if m.how == "sum"}
-    return out.fillna(zero) if zero else out
+    return dense.join(named, "code", "left").select(*keys, *fields[1:])
 
 
 def taxa(genomes: DataFrame, measures: list[Measure] = (), **how) -> DataFrame:

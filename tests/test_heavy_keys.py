@@ -39,7 +39,7 @@ def test_matches_brute_force(spark):
     rows, df = table(spark)
     want = brute(rows)
     assert run(df) == want
-    assert run(df, max_spellings=3) == want  # the salted way
+    assert run(df, held=3) == want  # arrays handed on in between
 
 
 def test_blocks_and_fan_in(spark, monkeypatch):
