@@ -72,56 +72,96 @@ def _text(v: object) -> str:
     return x.encode("utf-8", "replace").decode() if not x.isascii() else str(x)
 
 
-def label(value: object, lists: frozenset[str], only: frozenset[str] | None, seen: dict[str, str] | None = None) -> Iterator[tuple[str, list[int], dict[str, str]]]:
+class Paths:
+    """What is read of records: tables (schema paths of array elements, '' the record itself) and the leaves of each.
+
+    lists: paths that are arrays even where their one element stands alone. leaves: the leaves to keep of each table;
+    other tables and keys on no way to a kept leaf are not entered. None keeps everything. Of two spellings of a
+    key the steps are the same; what a key of a path leads to is worked out once.
+    """
+
+    def __init__(self, lists=(), leaves: dict[str, set[str]] | None = None):
+        self.lists, self.leaves = frozenset(lists), leaves
+        self.ways = None
+        if leaves is not None:
+            full = [f"{t}.{x}".strip(".") if x else t for t, xs in leaves.items() for x in xs]
+            self.ways = {w[:k] for w in full for k in range(len(w) + 1) if k == len(w) or w[k] in ".["} | {w[: k + 2] for w in full for k in range(len(w)) if w[k : k + 2] == "[]"}
+        self._steps: dict[str, dict[str, tuple | None]] = {}
+
+    def steps(self, path: str) -> dict[str, tuple | None]:
+        """For keys met under a path: (path of the value, leaf, whether a lone value is an array of one), or None."""
+        found = self._steps.get(path)
+        if found is None:
+            found = self._steps[path] = {}
+        elif len(found) > 10_000:
+            found.clear()
+        return found
+
+    def step(self, path: str, key: str) -> tuple | None:
+        k = snake(key)
+        at = f"{path}.{k}" if path else k
+        if self.ways is not None and at not in self.ways:
+            return None
+        return at, at.rpartition("[]")[2].lstrip("."), at + "[]" in self.lists
+
+    def enters(self, path: str) -> bool:
+        return self.ways is None or path in self.ways
+
+
+def label(value: object, paths: Paths) -> Iterator[tuple[str, tuple[int, ...], dict[str, str]]]:
     """(schema path, Dewey label, leaves) of the root and of every array element in reach.
 
     Leaves are the scalars an element holds directly or in objects, by dotted key; of two
-    spellings of one key the first value that is not null counts. A path in `lists` is an array even where its
-    one element stands alone. With `only`, other arrays are not entered. seen: keys already brought into one spelling.
+    spellings of one key the first value that is not null counts.
     """
-    seen = {} if seen is None else seen
     rows = [("", (), value)]
+    kept = paths.leaves
     while rows:
         path, dewey, top = rows.pop()
+        wanted = None if kept is None else kept.get(path, ())
         leaves: dict[str, str] = {}
         todo = [(path, dewey, "", top)]
         while todo:
             p, d, leaf, v = todo.pop()
-            if v is None:
-                continue
             if isinstance(v, dict):
-                for i, (k, x) in reversed([*enumerate(v.items())]):
-                    key = seen.get(k)
-                    if key is None:
-                        if len(seen) > 10_000:
-                            seen.clear()
-                        key = seen[k] = snake(k)
+                steps, below = paths.steps(p), []
+                for i, (k, x) in enumerate(v.items()):
                     if x is None:
                         continue
-                    at = f"{p}.{key}" if p else key
-                    if x is not None and not isinstance(x, list) and at + "[]" in lists:
+                    try:
+                        to = steps[k]
+                    except KeyError:
+                        to = steps[k] = paths.step(p, k)
+                    if to is None:
+                        continue
+                    if to[2] and not isinstance(x, list):
                         x = [x]
-                    todo.append((at, (*d, i), f"{leaf}.{key}" if leaf else key, x))
+                    below.append((to[0], (*d, i), to[1], x))
+                todo += reversed(below)
             elif isinstance(v, list):
                 at = p + "[]"
-                if only is None or at in only:
-                    rows.extend((at, (*d, i), x) for i, x in enumerate(v))
-            elif leaf not in leaves or leaves[leaf] == "":
+                if paths.enters(at):
+                    rows += [(at, (*d, i), x) for i, x in enumerate(v)]
+            elif v is not None and (wanted is None or leaf in wanted) and not leaves.get(leaf):
                 leaves[leaf] = _text(v)
-        if only is None or path in only:
-            yield path, list(dewey), leaves
+        if wanted is None or wanted:
+            yield path, dewey, leaves
 
 
-def _kernel(wrap: str | None, lists: frozenset[str], only: frozenset[str] | None) -> Callable:
+def _kernel(wrap: str | None, lists, leaves) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        readers, seen = _strict(), {}
-        schema = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("path", pa.string()), ("dewey", pa.list_(pa.int32())), ("leaves", pa.map_(pa.string(), pa.string()))])
-        out: tuple[list, ...] = ([], [], [], [], [])
+        readers, paths = _strict(), Paths(lists, leaves)
+        fields = ["id", "row", "path", "dewey", "leaves"]
+        # labels and leaves are gathered flat, with the places where each row's end
+        ids, at, kinds, steps, steps_end, keys, texts, leaves_end = held = tuple([] for _ in range(8))
         row = TaskContext.get().partitionId() << 40
 
         def batch():
-            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
-            for c in out:
+            ends = [pa.array([0, *e], pa.int32()) for e in (steps_end, leaves_end)]
+            labels = pa.ListArray.from_arrays(ends[0], pa.array(steps, pa.int32()))
+            found = pa.MapArray.from_arrays(ends[1], pa.array(keys, pa.string()), pa.array(texts, pa.string()))
+            made = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(kinds, pa.string()), labels, found], fields)
+            for c in held:
                 c.clear()
             return made
 
@@ -133,18 +173,24 @@ def _kernel(wrap: str | None, lists: frozenset[str], only: frozenset[str] | None
                     continue
                 if wrap and not (isinstance(value, dict) and wrap in value):
                     value = {wrap: [value]}
-                for path, dewey, leaves in label(value, lists, only, seen):
-                    for c, x in zip(out, (i, row, path, dewey, list(leaves.items()))):
-                        c.append(x)
-                    if len(out[0]) >= ROWS:
+                for path, dewey, found in label(value, paths):
+                    ids.append(i)
+                    at.append(row)
+                    kinds.append(path)
+                    steps.extend(dewey)
+                    steps_end.append(len(steps))
+                    keys.extend(found)
+                    texts.extend(found.values())
+                    leaves_end.append(len(keys))
+                    if len(ids) >= ROWS:
                         yield batch()
-        if out[0]:
+        if ids:
             yield batch()
 
     return run
 
 
-def dewey_nodes(df: DataFrame, ident: str, text: str, wrap: str | None = None, lists=(), only=None) -> DataFrame:
+def dewey_nodes(df: DataFrame, ident: str, text: str, wrap: str | None = None, lists=(), leaves: dict[str, set[str]] | None = None) -> DataFrame:
     """(id, row, path, dewey, leaves): one row per table entry of every readable record.
 
     row numbers the input rows of this run, so that rows with a repeated or null id stay apart; read the
@@ -152,9 +198,10 @@ def dewey_nodes(df: DataFrame, ident: str, text: str, wrap: str | None = None, l
 
     Null, blank and unreadable texts give nothing; repeated rows give their entries again.
     wrap: the key of a page's array of records; a record that stands alone becomes its only element.
+    lists, leaves: see Paths; a table without leaves to keep gives no rows.
     """
     rows = spread(df.select(F.col(ident).alias("id"), F.col(text).alias("text")), "id").where("text is not null")
-    return rows.mapInArrow(_kernel(wrap, frozenset(lists), None if only is None else frozenset(only)), NODES)
+    return rows.mapInArrow(_kernel(wrap, lists, leaves), NODES)
 
 
 def parent(dewey, depth: int):
@@ -165,10 +212,14 @@ def parent(dewey, depth: int):
 _R, _L = "reports[]", "reports[].virus.lineage[]"
 _G = "reports[].annotation.genes[]"
 _C = "reports[].annotation.genes[].cds[]"
+#: The leaves that the tables of records and children read; lineage entries may be names themselves.
+FLAT = {_R: {"virus.tax_id", "isolate.name", "isolate", "segment"}, _L: {"name", ""}, _C: {"protein_accession"}}
+#: Those and what whole viral records have besides.
+LEAVES = FLAT | {_R: FLAT[_R] | {"accession", "length", "completeness", "virus.organism_name"}, _L: FLAT[_L] | {"tax_id", "rank"}}
 
 
-def report_nodes(reports: DataFrame) -> DataFrame:
-    return dewey_nodes(reports, "line_id", "report", wrap="reports", lists=(_R, _L, _G, _C), only=(_R, _L, _G, _C))
+def report_nodes(reports: DataFrame, leaves: dict[str, set[str]] = LEAVES) -> DataFrame:
+    return dewey_nodes(reports, "line_id", "report", wrap="reports", lists=(_R, _L, _G, _C), leaves=leaves)
 
 
 def records(nodes: DataFrame) -> DataFrame:
@@ -199,7 +250,7 @@ def children(nodes: DataFrame) -> DataFrame:
 
 def p5_found(spark, sf_dir):
     """One row per lineage entry and coding sequence of every report of every readable line."""
-    nodes = cut(report_nodes(table(spark, sf_dir, "virus_reports")))
+    nodes = cut(report_nodes(table(spark, sf_dir, "virus_reports"), FLAT))
     return children(nodes).drop("id").join(records(nodes), ["row", "record"]).select(
         F.col("id").alias("line_id"), "record_pos", "taxid", "isolate", "segment", "child", "parent_pos", "child_pos", "child_key"
     )
@@ -207,6 +258,6 @@ def p5_found(spark, sf_dir):
 
 def p5_records(spark, sf_dir):
     """The table of reports: one row per report of every readable line."""
-    return records(report_nodes(table(spark, sf_dir, "virus_reports"))).select(
+    return records(report_nodes(table(spark, sf_dir, "virus_reports"), FLAT)).select(
         F.col("id").alias("line_id"), "record_pos", "taxid", "isolate", "segment"
     )

@@ -42,10 +42,18 @@ def test_repeated_lines_and_deep_ones(spark):
 
 
 def test_labels_truncate_to_parents():
-    rows = list(nested.label({"a": [{"b": [1, 2]}, {"c": 3}]}, frozenset(), None))
+    rows = list(nested.label({"a": [{"b": [1, 2]}, {"c": 3}]}, nested.Paths()))
     by = {(p, tuple(d)): leaves for p, d, leaves in rows}
     assert by[("a[]", (0, 1))] == {"c": "3"}
     assert by[("a[].b[]", (0, 0, 0, 1))] == {"": "2"}
     for p, d in by:
         if p == "a[].b[]":
             assert ("a[]", d[:2]) in by
+
+
+def test_only_what_is_kept_is_entered():
+    value = {"a": [{"b": [1, 2], "C": {"dE": 5, "x": 6}}, {"c": 3}], "z": [[1], {"y": 2}], "c": {"d_e": 9}}
+    whole = {(p, d): x for p, d, x in nested.label(value, nested.Paths())}
+    some = {(p, d): x for p, d, x in nested.label(value, nested.Paths(leaves={"a[]": {"c.d_e"}, "a[].b[]": {""}}))}
+    assert some == {("a[]", (0, 0)): {"c.d_e": "5"}, ("a[]", (0, 1)): {}, ("a[].b[]", (0, 0, 0, 0)): {"": "1"}, ("a[].b[]", (0, 0, 0, 1)): {"": "2"}}
+    assert set(some) <= set(whole) and whole[("a[]", (0, 0))] == {"c.d_e": "5", "c.x": "6"}
