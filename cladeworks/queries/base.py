@@ -41,7 +41,9 @@ def species(s: str, g: str) -> str:
     return f"nullif(regexp_replace(trim({rest}), '[ _]+', '-', 'g'), '')"
 
 
-WORDS = "list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w != '')"
+#: Words of any script: runs of letters, marks and digits, and in scripts without spaces each letter with its marks.
+_APART = "regexp_replace(lower(text), '([\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Thai}\\p{Lao}\\p{Khmer}\\p{Myanmar}]\\p{M}*)', ' \\1 ', 'g')"
+WORDS = f"list_filter(string_split(regexp_replace({_APART}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w != '')"
 #: (id, h) of the documents' word shingles.
 SKETCH = f"""
 words as (select doc_id as id, {WORDS} as w from documents where doc_id is not null and text is not null),
