@@ -47,10 +47,18 @@ def taxon_spellings(spark, sf):
     )
 
 
-@query("""with t as (select row_id, coalesce(family, '') as f, coalesce(genus, '') as g, coalesce(species, '') as s from genomes)
-select row_id, '' as domain, '' as phylum, '' as "class", '' as "order", replace(replace(f, ' ', ''), '_', '-') as family, replace(replace(g, ' ', ''), '_', '-') as genus,
- replace(replace(case when g = '' then g || ' ' || s else replace(g || ' ' || s, g, '') end, ' ', ''), '_', '-') as species
-from t where not contains(f || g || s, ';') and not contains(f || g || s, '__')""")
+def _part(letter: str) -> str:
+    """SQL of a rank of a lineage string: its last part with that letter, without rank prefixes."""
+    return f"regexp_replace(coalesce(list_filter(p, lambda x: starts_with(x, '{letter}__'))[-1], ''), '^(\\s*[A-Za-z]__)+', '')"
+
+
+def _dashed(x: str) -> str:
+    return f"replace(replace({x}, ' ', ''), '_', '-')"
+
+
+@query(f"""with t as (select row_id, string_split('f__' || coalesce(family, '') || ';g__' || coalesce(genus, '') || ';s__' || coalesce(genus, '') || ' ' || coalesce(species, ''), ';') as p from genomes),
+u as (select row_id, {_part('d')} as d, {_part('p')} as ph, {_part('c')} as c, {_part('o')} as o, {_part('f')} as f, {_part('g')} as g, regexp_replace({_part('s')}, '(^|\\s)(\\s*[A-Za-z]__)+', '\\1', 'g') as s from t)
+select row_id, d as domain, ph as phylum, c as "class", o as "order", {_dashed('f')} as family, {_dashed('g')} as genus, {_dashed("case when g = '' then s else replace(s, g, '') end")} as species from u""")
 def lineage_parse(spark, sf):
     """Ranked lineage strings as a taxonomy table writes them, taken apart again."""
     f, g, s = (F.coalesce(c, F.lit("")) for c in ("family", "genus", "species"))
@@ -71,9 +79,10 @@ def token_sanitize(spark, sf):
     return p.select("p_partkey", text.token(F.col("p_name")).alias("token"), text.norm(F.col("p_type")).alias("norm"), text.tree_label(F.col("p_name")).alias("label"))
 
 
-@query("""select doc_id, split_part(h, ']', 1) as genome_id from (select doc_id, 'x | ' || doc_id || '.' || (n_chars % 7) || '] [' || source || ' | tag' as h from documents where n_chars is not null)""".replace("select doc_id, split_part(h, ']', 1) as genome_id", "select doc_id, split_part(split_part(h, ']', 1), '| ', -1) as genome_id, split_part(split_part(split_part(h, ']', 1), '| ', -1), '.', 1) as taxid, trim(split_part(split_part(h, '[', 2), ' | ', 1)) as species, split_part(h, ' ', 1) as name"))
+@query("""select doc_id, split_part(split_part(h, ']', 1), '| ', -1) as genome_id, split_part(split_part(split_part(h, ']', 1), '| ', -1), '.', 1) as taxid,
+ trim(split_part(split_part(h, '[', 2), ' | ', 1)) as species, split_part(h, ' ', 1) as name from (select doc_id, 'x | ' || doc_id || '.' || (n_chars % 7) || '] [' || source || ' | tag' as h from documents)""")
 def header_parse(spark, sf):
-    d = table(spark, sf, "documents").where("n_chars is not null and source is not null")
+    d = table(spark, sf, "documents")
     h = F.concat(F.lit("x | "), F.col("doc_id").cast("string"), F.lit("."), (F.col("n_chars") % 7).cast("string"), F.lit("] ["), "source", F.lit(" | tag"))
     return d.select("doc_id", text.header_struct(h).alias("p")).select("doc_id", "p.*")
 
@@ -350,7 +359,7 @@ def lineage_joined(spark, sf):
     return table(spark, sf, G).select("row_id", F.array_join(parts, ",").alias("lineage"), (~F.col("is_outgroup")).alias("selected"))
 
 
-@query("select n_nationkey, regexp_replace(repeat(n_name, 20), '(.{80})', '\\1\n', 'g') as wrapped from nation where length(n_name) * 20 % 80 != 0")
+@query("select n_nationkey, rtrim(regexp_replace(repeat(n_name, 20), '(.{80})', '\\1\n', 'g'), chr(10)) as wrapped from nation")
 def sequence_wrap(spark, sf):
     n = table(spark, sf, "nation")
     return n.select("n_nationkey", text.wrap(F.repeat(F.col("n_name"), 20)).alias("wrapped"))
