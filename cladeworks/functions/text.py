@@ -101,9 +101,13 @@ def key_values(x: Column) -> Column:
     )
 
 
+#: IUPAC letters and their complements.
+IUPAC = ("ACGTRYKMBVDHacgtrykmbvdh", "TGCAYRMKVBHDtgcayrmkvbhd")
+
+
 def reverse_complement(seq: Column) -> Column:
     """Over the IUPAC letters in both cases; other signs stay."""
-    return F.translate(F.reverse(seq), "ACGTRYKMBVDHacgtrykmbvdh", "TGCAYRMKVBHDtgcayrmkvbhd")
+    return F.translate(F.reverse(seq), *IUPAC)
 
 
 def tree_label(x: Column) -> Column:

@@ -25,6 +25,19 @@ def positions(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
     return part.withColumn("_n", local).join(F.broadcast(rows), "_p").withColumn(name, F.col("_o") + F.col("_n") - 1).drop("_p", "_n", "_o")
 
 
+def before(df: DataFrame, value: str, *order: str, name: str = "at") -> DataFrame:
+    """Adds the sum of `value` over all rows before, in a global order, without sorting everything in one task."""
+    part = cut(df.repartitionByRange(*(F.col(c) for c in order)).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_p")))
+    sums = {r["_p"]: r["s"] for r in part.groupBy("_p").agg(F.sum(value).cast("bigint").alias("s")).collect()}
+    offsets, total = [], 0
+    for p in sorted(sums):
+        offsets.append((p, total))
+        total += sums[p] or 0
+    rows = df.sparkSession.createDataFrame(offsets or [(0, 0)], "_p int, _o bigint")
+    local = F.coalesce(F.sum(value).over(W.partitionBy("_p").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return part.withColumn("_n", local).join(F.broadcast(rows), "_p").withColumn(name, (F.col("_o") + F.col("_n")).cast("bigint")).drop("_p", "_n", "_o")
+
+
 def chunk_id(pos: Column, n: Column, size: int) -> Column:
     """Chunk of a place among n rows; a last row that would stand alone joins the chunk before."""
     alone = (n > size) & (pos == n - 1) & (n % size == (1 if size > 1 else 0))

@@ -189,9 +189,12 @@ def ancestors(nodes: DataFrame) -> DataFrame:
         step *= 2
 
 
-def clade_names(nodes: DataFrame, basename: str | None = None) -> DataFrame:
-    """(node, name) of inner nodes: md5 of the sorted leaf labels joined by blanks, or basename and a preorder number; the root is 'root'."""
-    paths = ancestors(nodes)
+def clade_names(nodes: DataFrame, basename: str | None = None, paths: DataFrame | None = None) -> DataFrame:
+    """(node, name) of inner nodes: md5 of the sorted leaf labels joined by blanks, or basename and a preorder number; the root is 'root'.
+
+    paths: of ancestors(nodes), if they are known already.
+    """
+    paths = ancestors(nodes) if paths is None else paths
     inner = paths.groupBy("node").agg(F.md5(F.array_join(F.sort_array(F.collect_list("leaf_label")), " ")).alias("hash"))
     named = inner.join(nodes.select("node", "parent"), "node")
     if basename is not None:
@@ -204,9 +207,9 @@ def clade_names(nodes: DataFrame, basename: str | None = None) -> DataFrame:
 
 def relations(nodes: DataFrame, basename: str | None = None, drop_leaf: str | None = None, root_name: str = "root") -> DataFrame:
     """(child, parent) edges of the named tree, each once; drop_leaf and nodes above it alone go."""
-    names = clade_names(nodes, basename)
-    keep = nodes if drop_leaf is None else nodes.where(F.col("label") != drop_leaf)
     used = ancestors(nodes)
+    names = clade_names(nodes, basename, used)
+    keep = nodes if drop_leaf is None else nodes.where(F.col("label") != drop_leaf)
     used = used if drop_leaf is None else used.where(F.col("leaf_label") != drop_leaf)
     inner = used.select("node").distinct()
     label = names.join(inner, "node", "left_semi").withColumn("name", F.when(F.col("name") == "root", root_name).otherwise(F.col("name")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import alignment, distances, trees
+from ..operators import alignment, distances, sketch, trees
 from ..session import cut, table
 from .base import EDGES, query
 from .derep import _classes
@@ -176,3 +176,74 @@ def msa_project(spark, sf):
         (100 - F.col("n_regionkey")).cast("bigint").alias("start"), F.replace(F.rpad("n_name", 12, "-"), F.lit("A"), F.lit("-")).alias("text"),
     )
     return alignment.project_blocks(rows, "g0")
+
+
+# alignments of many rows: names of parts, names and numbers of suppliers; sketches of the letters of documents
+
+
+_PARTS = "msa as (select p_partkey as name, rpad(p_type, (select max(length(p_type)) from part)::int, '-') as seq from part)"
+_PART_SITES = _PARTS + """, wide as (select min(length(seq)) as w from msa), sites as (select name, i as pos, substr(seq, i + 1, 1) as c from (select name, seq, unnest(range(w)) as i from msa, wide)),
+var as (select pos from sites group by pos having count(distinct c) > 1)"""
+
+
+def _parts(spark, sf):
+    """The types of parts as rows of equal width."""
+    p = table(spark, sf, "part")
+    width = p.agg(F.max(F.length("p_type"))).first()[0] or 0
+    return p.select(F.col("p_partkey").alias("name"), F.rpad("p_type", width, "-").alias("seq"))
+
+
+@query(f"with {_PART_SITES} select pos::int as pos from var")
+def part_snp_columns(spark, sf):
+    return alignment.variable_sites(_parts(spark, sf))
+
+
+@query(f"with {_PART_SITES} select name, string_agg(c, '' order by pos) as seq from sites where pos in (select pos from var) group by name")
+def part_snp_alignment(spark, sf):
+    return alignment.core_alignment(_parts(spark, sf))
+
+
+_SUPPLIERS = "(select s_suppkey as name, lpad((s_suppkey * 7919 % 100003)::varchar, 6, '0') || lpad((s_nationkey * s_suppkey % 1009)::varchar, 4, '0') as seq from supplier)"
+
+
+@query(f"select a.name as a, b.name as b, hamming(a.seq, b.seq)::bigint as d from {_SUPPLIERS} a join {_SUPPLIERS} b on a.name < b.name")
+def supplier_hamming(spark, sf):
+    s = table(spark, sf, "supplier")
+    k, n = F.col("s_suppkey").cast("bigint"), F.col("s_nationkey").cast("bigint")
+    seq = F.concat(F.lpad((k * 7919 % 100003).cast("string"), 6, "0"), F.lpad((n * k % 1009).cast("string"), 4, "0"))
+    return alignment.hamming(s.select(F.col("s_suppkey").alias("name"), seq.alias("seq")))
+
+
+_KMERS = """seqs as (select doc_id as id, regexp_replace(upper(text), '[^ACGT]', '', 'g') as s from documents where doc_id is not null and text is not null),
+parts as (select id, unnest(list_transform(range(greatest(length(s) - 30, 0)), lambda i: substr(s, i + 1, 31))) as k from seqs),
+ends as (select id, least(k, reverse(translate(k, 'ACGT', 'TGCA'))) as k from parts)"""
+
+
+@query(f"with {_KMERS} select distinct id, ('0x' || substr(md5(k), 1, 15))::bigint as h from ends where substr(md5(k), 1, 8) < '{sketch.fraction_bound(10)}'")
+def kmer_sketches(spark, sf):
+    """Scaled sketches of the DNA letters of each document, both strands as one."""
+    d = table(spark, sf, "documents").where("doc_id is not null and text is not null")
+    seq = d.select("doc_id", F.regexp_replace(F.upper("text"), "[^ACGT]", "").alias("seq"))
+    return sketch.kmer_sketch(seq, "doc_id", "seq", 31, 10)
+
+
+_XMFA = """x as (select (o_orderkey % 3)::int as g, (o_orderkey // 3)::bigint as block, rpad(replace(o_orderpriority, ' ', '-'), 12, 'N') as text from orders),
+r as (select block, text as ref from x where g = 0),
+c as (select x.g, r.block, r.ref, x.text, unnest(range(1, 13)) as i from x join r using (block)),
+cells as (select g, block * 12 + row_number() over (partition by g, block order by i) as pos, substr(text, i, 1) as c from c where substr(ref, i, 1) != '-')"""
+
+
+@query(f"with {_XMFA} select 'g' || g as genome, count(*) filter (c != '-') as filled, sum(pos) filter (c = 'I')::bigint as at_i, sum(pos) filter (c = 'N')::bigint as at_n, (select max(block) * 12 + 12 from r)::bigint as width from cells group by g")
+def xmfa_project(spark, sf):
+    """Where letters come to stand when blocks of orders' priorities are put on the coordinates of their first genome."""
+    o = table(spark, sf, "orders")
+    block = F.floor(F.col("o_orderkey") / 3).cast("bigint")
+    rows = o.select(
+        block.alias("block"), F.concat(F.lit("g"), (F.col("o_orderkey") % 3).cast("string")).alias("genome"), (block * 12 + 1).alias("p1"), (block * 12 + 12).alias("p2"),
+        F.lit("+").alias("sign"), F.rpad(F.replace("o_orderpriority", F.lit(" "), F.lit("-")), 12, "N").alias("text"),
+    )
+    c = alignment.project_xmfa(rows, "g0").select("genome", F.length("seq").cast("bigint").alias("width"), F.posexplode(F.split("seq", "")).alias("i", "c"))
+    pos = (F.col("i") + 1).cast("bigint")
+    return c.groupBy("genome", "width").agg(
+        F.count_if((F.col("c") != "-") & (F.col("c") != "")).alias("filled"), F.sum(F.when(F.col("c") == "I", pos)).alias("at_i"), F.sum(F.when(F.col("c") == "N", pos)).alias("at_n"),
+    ).select("genome", "filled", "at_i", "at_n", "width")

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import small
+
 MAF = "block bigint, row int, src string, start bigint, size bigint, strand string, text string"
 XMFA = "block bigint, genome string, p1 bigint, p2 bigint, sign string, text string"
 
@@ -13,10 +15,11 @@ XMFA = "block bigint, genome string, p1 bigint, p2 bigint, sign string, text str
 def maf(spark: SparkSession, path) -> DataFrame:
     """One row per aligned sequence: block, row in the block, source, 0-based start, size, strand, text.
 
-    Each block is read as one record, so files are split between blocks.
+    Each block is read as one record, from its `a` line to the next, so files are split between blocks, whatever
+    ends their lines and however many blank lines stand between them.
     """
-    raw = spark.read.option("lineSep", "\n\n").text(path).withColumn("block", F.monotonically_increasing_id())
-    lines = raw.select("block", F.posexplode(F.split("value", "\n")).alias("row", "line")).where(F.startswith("line", F.lit("s")))
+    raw = spark.read.option("lineSep", "\na").text(path).withColumn("block", F.monotonically_increasing_id())
+    lines = raw.select("block", F.posexplode(F.split("value", "\n")).alias("row", "line")).where(F.rlike("line", F.lit(r"^s\s")))
     p = F.split(F.trim("line"), r"\s+")
     return lines.select("block", "row", p.alias("p")).where(F.size("p") >= 7).select(
         "block", "row", F.col("p")[1].alias("src"), F.col("p")[2].cast("bigint").alias("start"), F.col("p")[3].cast("bigint").alias("size"), F.col("p")[4].alias("strand"), F.col("p")[6].alias("text")
@@ -28,8 +31,8 @@ def maf_genomes(rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
     short = F.substring_index("src", ".", 1)
     if names is None:
         return rows.withColumn("genome", short)
-    exact = F.broadcast(names.select(F.col("src"), F.col("genome").alias("_g1")))
-    cut = F.broadcast(names.select(F.col("src").alias("_short"), F.col("genome").alias("_g2")))
+    named = small(names.select("src", "genome"))
+    exact, cut = named.select("src", F.col("genome").alias("_g1")), named.select(F.col("src").alias("_short"), F.col("genome").alias("_g2"))
     out = rows.withColumn("_short", short).join(exact, "src", "left").join(cut, "_short", "left")
     return out.withColumn("genome", F.coalesce("_g1", "_g2", "_short")).drop("_g1", "_g2", "_short")
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cladeworks.operators import alignment, distances, trees
+from cladeworks.plans.registry import InputError
 from cladeworks.sources import blocks
 
 
@@ -14,7 +15,12 @@ def test_maf_projection(spark, rows, tmp_path):
     assert [(r["genome"], r["seq"]) for r in got.collect()] == [("ref", "ACGTACGTGGGG"), ("oth", "AAAAAAAA----"), ("qry", "ACGAACGTGGGA")]
     got = alignment.project_blocks(blocks.maf_genomes(blocks.maf(spark, str(p))), "ref", exclude=["oth"])
     assert [r["genome"] for r in got.collect()] == ["ref", "qry"]
-    assert alignment.project_blocks(blocks.maf_genomes(blocks.maf(spark, str(p))), "none").collect() == []
+    with pytest.raises(InputError, match="oth, qry, ref"):
+        alignment.project_blocks(blocks.maf_genomes(blocks.maf(spark, str(p))), "none")
+    assert alignment.project_blocks(blocks.maf_genomes(blocks.maf(spark, str(p))).limit(0), "ref").collect() == []
+    p.write_bytes(p.read_bytes().replace(b"\n", b"\r\n").replace(b"\r\n\r\na", b"\r\n\r\n\r\na"))
+    again = alignment.project_blocks(blocks.maf_genomes(blocks.maf(spark, str(p))), "ref", exclude=["oth"])
+    assert [tuple(r) for r in again.collect()] == [tuple(r) for r in got.collect()]
 
 
 def test_xmfa_projection(spark, tmp_path):
@@ -30,6 +36,28 @@ def test_snps(spark, rows):
     assert rows(alignment.core_alignment(m)) == [("long", "TT"), ("ref", "TT"), ("s1", "AT"), ("s2", "TA")]
     d = {(r["a"], r["b"]): r["d"] for r in alignment.hamming(m).collect()}
     assert d[("ref", "s1")] == 1 and d[("s1", "s2")] == 2 and d[("long", "ref")] == 0
+    assert rows(alignment.variable_sites(m, ignore="A")) == [] and alignment.hamming(m.limit(0)).collect() == []
+    assert [r["d"] for r in alignment.hamming(m.where("name in ('ref', 'long')")).collect()] == [0]
+
+
+def test_blocks_of_rows_and_columns(spark, monkeypatch):
+    r = random.Random(7)
+    texts = {f"n{k:02}": "".join(r.choice("ACGTé𝔸") for _ in range(40)) for k in range(23)}
+    m = spark.createDataFrame([*texts.items(), (None, "A" * 40), ("none", None)], "name string, seq string").repartition(3)
+    want = {(a, b): sum(x != y for x, y in zip(texts[a], texts[b])) for a in texts for b in texts if a < b}
+    monkeypatch.setattr(alignment, "ROWS", 5)
+    monkeypatch.setattr(alignment, "BLOCK", 7)
+    assert {(x["a"], x["b"]): x["d"] for x in alignment.hamming(m).collect()} == want
+
+
+def test_flanks_are_screened(spark):
+    rows = [(0, "ref", 1, 10, "+", "ACGT-ACGTAC"), (0, "q", 1, 11, "+", "ACGTTAC-TAC")]
+    df = spark.createDataFrame(rows, "block bigint, genome string, p1 bigint, p2 bigint, sign string, text string")
+    got = {x["genome"]: x["seq"] for x in alignment.project_xmfa(df, "ref", flank=1).collect()}
+    # blank: one column at each end, those beside the removed column, the gap and its neighbours
+    assert got == {"ref": "-CG-----A-", "q": "-CG-----A-"}
+    keep, blank = alignment.screened("AC-GTA", ["ACCGTA"], 0)
+    assert keep.tolist() == [0, 1, 3, 4, 5] and not blank.any()
 
 
 def test_outgroup(spark, rows):
