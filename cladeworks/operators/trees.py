@@ -43,9 +43,11 @@ def join_neighbours(labels: list[str], dist) -> str:
     return f"({text[0]}:{h:.6f},{text[1]}:{h:.6f});"
 
 
-def nj_tree(pairs: DataFrame, group: str | None = None) -> DataFrame:
+def nj_tree(pairs: DataFrame, group: str | None = None, missing: float = 0.0) -> DataFrame:
     """(group, newick) from distances (a, b, d), each pair once or twice; one tree per group.
 
+    Pairs that are not listed have the distance `missing`; a record may be listed with itself only.
+
     A tree needs its whole matrix at one place, so a group is bounded by what neighbour joining can do at
     all: representatives in the thousands. Groups are built side by side.
     """
@@ -54,7 +56,8 @@ def nj_tree(pairs: DataFrame, group: str | None = None) -> DataFrame:
     def build(x: pd.DataFrame) -> pd.DataFrame:
         names = sorted(set(x["a"]) | set(x["b"]))
         at = {n: k for k, n in enumerate(names)}
-        m = np.zeros((len(names), len(names)))
+        m = np.full((len(names), len(names)), missing)
+        np.fill_diagonal(m, 0.0)
         i, j = x["a"].map(at).to_numpy(), x["b"].map(at).to_numpy()
         m[i, j] = m[j, i] = x["d"].to_numpy()
         return pd.DataFrame({"grp": [x["grp"].iloc[0]], "newick": [join_neighbours(names, m)]})

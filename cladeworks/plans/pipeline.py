@@ -17,7 +17,7 @@ from ..operators import manifest
 from .registry import InputError
 
 LEDGER = "stage string, params string, versions string, completed timestamp, fingerprint string"
-CHAIN = ["metadata", "genome", "dereplicate", "align", "phylo", "tree2tax"]
+CHAIN = ["metadata", "genome", "dereplicate", "phylo", "tree2tax"]
 #: Parameters that change how fast a stage is, not what it gives.
 SPEED_ONLY = ("threads", "num_processes")
 log = logging.getLogger(__name__)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import heavy_keys, nested
-from . import derep, geometry, relational, viral  # noqa: F401
+from . import derep, geometry, relational, stages, viral  # noqa: F401
 from .base import ORACLES, QUERIES, query
 from .p_sql import SQL
 

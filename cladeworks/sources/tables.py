@@ -56,7 +56,9 @@ def sorted_once(edges: DataFrame, order: str) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").options(sep="\t", header=header, quote="", emptyValue="").csv(path)
+    """A tab-separated table without quotes; values stay as they are, padding included."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(sep="\t", header=header, quote="", emptyValue="", **keep).csv(path)
 
 
 def matrix(spark: SparkSession, path) -> DataFrame:
@@ -144,10 +146,16 @@ def name_list(spark: SparkSession, path) -> DataFrame:
 
 
 def taxon_pages(spark: SparkSession, path) -> DataFrame:
-    """(taxid, name, rank, aka, lineage array of (taxid, name, rank)) of taxon pages in XML."""
+    """(taxid, name, rank, aka, lineage array of (taxid, name, rank)) of taxon pages in XML.
+
+    A page whose root is not the set of taxa, such as a server's error page, is an error when it is read.
+    """
     one = "TaxId: STRING, ScientificName: STRING, Rank: STRING"
     schema = f"Taxon ARRAY<STRUCT<{one}, AkaTaxIds: STRUCT<TaxId: ARRAY<STRING>>, LineageEx: STRUCT<Taxon: ARRAY<STRUCT<{one}>>>>>"
-    raw = spark.read.format("xml").options(rowTag="TaxaSet").schema(schema).load(path)
+    pages = spark.read.text(path, wholetext=True)
+    root = F.regexp_extract("value", r"(?s)^\s*(?:<[?!][^>]*>\s*)*<([A-Za-z]+)", 1)
+    page = F.when(root == "TaxaSet", F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no page of taxa; its root is "), F.nullif(root, F.lit("")))))
+    raw = pages.select(F.from_xml(page, schema).alias("x")).select("x.*")
     t = raw.select(F.explode("Taxon").alias("t"))
     return t.select(F.col("t.TaxId").alias("taxid"), F.col("t.ScientificName").alias("name"), F.col("t.Rank").alias("rank"), F.col("t.AkaTaxIds.TaxId").alias("aka"), F.transform("t.LineageEx.Taxon", lambda x: F.struct(x["TaxId"].alias("taxid"), x["ScientificName"].alias("name"), x["Rank"].alias("rank"))).alias("lineage"))
 
