@@ -78,5 +78,8 @@ class Registry:
 dereplicators = Registry("dereplicator")
 dereplicators.add(Capability("sketch"), "cladeworks.plans.dereplicate:by_sketch")
 dereplicators.add(Capability("edges"), "cladeworks.plans.dereplicate:by_edges")
+aligners = Registry("aligner")
+aligners.add(Capability("blocks"), "cladeworks.operators.alignment:project_blocks")
+aligners.add(Capability("xmfa"), "cladeworks.operators.alignment:project_xmfa")
 tree_builders = Registry("tree builder")
 tree_builders.add(Capability("neighbour-joining", most=10_000), "cladeworks.operators.trees:nj_tree")
