@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import nested, select, viral
+from ..operators import compose, nested, select, viral
+from ..plans import viral as plan
 from ..session import cut, table
 from .base import query
 from .p_sql import _RECORDS
@@ -14,6 +15,10 @@ def _token(x: str) -> str:
     return f"coalesce(nullif(regexp_replace(replace(replace(trim({x}), ' ', '-'), '_', '-'), '[^A-Za-z0-9.-]', '', 'g'), ''), 'NA')"
 
 
+def _norm(x: str) -> str:
+    return f"lower(replace(replace(replace({x}, '-', ''), '_', ''), ' ', ''))"
+
+
 _VIRUS = f"""{_RECORDS},
 v1 as (select line_id as id, record_pos, coalesce(x->>'$.accession', '') as accession, taxid, coalesce(nullif(x->>'$.virus.organismName', ''), x->>'$.virus.organism_name', '') as organism,
  coalesce(try_cast(x->>'$.length' as bigint), 0) as length, upper(coalesce(x->>'$.completeness', '')) as completeness, segment, isolate,
@@ -102,3 +107,41 @@ def virus_select(spark, sf):
 @query(f"with {_VIRUS}, g as (select distinct accession from vr) select accession, count(*) as n from vr group by accession having count(*) > 1")
 def virus_duplicate_ids(spark, sf):
     return _records(spark, sf).groupBy("accession").agg(F.count("*").alias("n")).where("n > 1")
+
+
+# ---- whole selections; an accession stands for its sequence
+
+
+def _sequences(r):
+    return r.where("accession != ''").groupBy("accession").agg(F.min(F.col("id") * 1_000_000 + F.col("record_pos")).alias("ord")).select(
+        "ord", "accession", F.concat("accession", F.lit(" description")).alias("description"), F.repeat("accession", 3).alias("seq"))
+
+
+_FIRST_GENUS = "(select min(genus) filter (genus != 'NA') as g from vr)"
+_KEPT = f"""fits as (select vr.* from vr, {_FIRST_GENUS} f where {_norm('genus')} = {_norm('f.g')}),
+band as (select trunc(median(m) * 0.9::double)::bigint as lo, trunc(median(m) * (1 + 10 / 100.0::double))::bigint as hi from (select trunc(median(length))::bigint as m from fits where length > 0 group by species)),
+seqs as (select distinct accession from vr where accession != '')"""
+
+
+@query(f"with {_VIRUS}, {_KEPT} select accession, family || '_' || genus || '_' || species || '_' || accession || '.fasta' as filename, family, genus, species, repeat(accession, 3) as seq from fits, band where length between lo and hi and accession in (select accession from seqs)")
+def viral_selection(spark, sf):
+    """Records of a genus with a sequence and a length in the band."""
+    r = _records(spark, sf)
+    first = r.where("genus != 'NA'").agg(F.min("genus")).first()[0] or "-"
+    p = plan.Select({"genus": [first]}, no_outgroup=True)
+    return plan.select_records(r.withColumn("ord", F.col("id") * 1_000_000 + F.col("record_pos")), _sequences(r), p).genomes
+
+
+_EDGES = "(select 's' || l_suppkey as a, 'p' || l_partkey as b, l_quantity::double * 2 as score, l_discount::double * 1000 as fa, l_tax::double * 1000 as fb, l_orderkey * 10 + l_linenumber as ord from lineitem)"
+
+
+@query(f"select b as member, arg_max(a, (score, -ord)) as representative, max(score) as score from {_EDGES} where score >= 90 and fa >= 50 and fb >= 50 group by b")
+def aligned_membership(spark, sf):
+    """The best representative of each member over edges that cover half of both ends."""
+    li = table(spark, sf, "lineitem")
+    e = li.select(
+        F.concat(F.lit("s"), "l_suppkey").alias("a"), F.concat(F.lit("p"), "l_partkey").alias("b"), (F.col("l_quantity").cast("double") * 2).alias("score"),
+        (F.col("l_discount").cast("double") * 1000).alias("fa"), (F.col("l_tax").cast("double") * 1000).alias("fb"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"),
+    )
+    reps = li.select(F.concat(F.lit("s"), "l_suppkey").alias("id")).distinct()
+    return compose.best_edges(e, reps, 90, 50).select("member", "representative", "score")
