@@ -117,18 +117,18 @@ def _sequences(r):
         "ord", "accession", F.concat("accession", F.lit(" description")).alias("description"), F.repeat("accession", 3).alias("seq"))
 
 
-_FIRST_GENUS = "(select min(genus) filter (genus != 'NA') as g from vr)"
-_KEPT = f"""fits as (select vr.* from vr, {_FIRST_GENUS} f where {_norm('genus')} = {_norm('f.g')}),
+_TOP_GENUS = "(select genus as g from vr where genus != 'NA' group by genus order by count(*) desc, genus limit 1)"
+_KEPT = f"""fits as (select vr.* from vr, {_TOP_GENUS} f where {_norm('genus')} = {_norm('f.g')}),
 band as (select trunc(median(m) * 0.9::double)::bigint as lo, trunc(median(m) * (1 + 10 / 100.0::double))::bigint as hi from (select trunc(median(length))::bigint as m from fits where length > 0 group by species)),
 seqs as (select distinct accession from vr where accession != '')"""
 
 
 @query(f"with {_VIRUS}, {_KEPT} select accession, family || '_' || genus || '_' || species || '_' || accession || '.fasta' as filename, family, genus, species, repeat(accession, 3) as seq from fits, band where length between lo and hi and accession in (select accession from seqs)")
 def viral_selection(spark, sf):
-    """Records of a genus with a sequence and a length in the band."""
+    """Records of the genus with most records, with a sequence and a length in the band."""
     r = _records(spark, sf)
-    first = r.where("genus != 'NA'").agg(F.min("genus")).first()[0] or "-"
-    p = plan.Select({"genus": [first]}, no_outgroup=True)
+    top = r.where("genus != 'NA'").groupBy("genus").count().orderBy(F.desc("count"), "genus").first()
+    p = plan.Select({"genus": [top["genus"] if top else "-"]}, no_outgroup=True)
     return plan.select_records(r.withColumn("ord", F.col("id") * 1_000_000 + F.col("record_pos")), _sequences(r), p).genomes
 
 
