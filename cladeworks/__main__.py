@@ -94,11 +94,7 @@ def _table(spark, a) -> int:
 
     df = spark.read.parquet(a.table)
     if a.command == "dereplicate-merge":
-        chunks = None
-        for path in a.chunks:
-            one = spark.read.parquet(f"{path}/clusters")
-            chunks = one if chunks is None else chunks.unionByName(one)
-        found = cut(stages.gather(cut(chunks), cut(sketch.word_sketch(df, a.id, a.text)), dereplicate.fraction(a.threshold)))
+        found = cut(stages.gather(cut(stages.read_chunks(spark, a.chunks)), cut(sketch.word_sketch(df, a.id, a.text)), dereplicate.fraction(a.threshold)))
         r = dereplicate.Result(found, cover.statuses(found))
     elif getattr(a, "chunk_size", None):
         sk = cut(sketch.word_sketch(df, a.id, a.text))

@@ -80,6 +80,22 @@ def as_percent(x: Column) -> Column:
     return F.when(x <= 1, x * 100).otherwise(x)
 
 
+def percent_text(x: Column) -> Column:
+    """A percentage or fraction as a percentage of six significant digits, without trailing zeros; for 0 and 0.001 to 99,999."""
+    v = as_percent(x)
+    size = F.when(v == 0, 1).otherwise(F.floor(F.log10(F.abs(v))) + 1)
+    unit = F.pow(F.lit(10.0), 6 - size)
+    shown = F.replace(F.format_number(F.bround(v * unit) / unit, 8), F.lit(","), F.lit(""))
+    return F.regexp_replace(F.regexp_replace(shown, "0+$", ""), "[.]$", "")
+
+
+def at_least(version: Column, floor: tuple[int, int, int], strict: bool = True) -> Column:
+    """Whether a version_struct reaches a floor; lenient: a version of 0.0.0, which could not be read, passes."""
+    v = F.struct(version["major"], version["minor"], version["patch"])
+    ok = v >= F.struct(*(F.lit(x) for x in floor))
+    return ok if strict else ok | (v == F.struct(F.lit(0), F.lit(0), F.lit(0)))
+
+
 def version_struct(text: Column) -> Column:
     def part(i):
         return F.coalesce(F.nullif(F.regexp_extract(text, r"([0-9]+)(?:[.]([0-9]+))?(?:[.]([0-9]+))?", i), F.lit("")).cast("int"), F.lit(0))
@@ -93,10 +109,13 @@ def option_list(x: Column) -> Column:
 
 
 def key_values(x: Column) -> Column:
-    """'a=1, b=2' -> map; entries without a key are dropped, of repeated keys the last counts."""
-    pairs = F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), ","), lambda v: F.split(v, "=", 2)), lambda p: (F.size(p) == 2) & (F.trim(p[0]) != ""))
+    """'a=1, b=2' -> map; of repeated keys the last counts, blank entries are left out, an entry without a key is an error."""
+    entries = F.filter(F.split(F.coalesce(x, F.lit("")), ","), lambda v: F.trim(v) != "")
+    pairs = F.transform(entries, lambda v: F.split(v, "=", 2))
+    good = F.forall(pairs, lambda p: (F.size(p) == 2) & (F.trim(p[0]) != ""))
+    checked = F.when(good, pairs).otherwise(F.raise_error(F.concat(F.lit("an option is written key=value: "), x)))
     return F.aggregate(
-        pairs, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
+        checked, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
         lambda m, p: F.map_concat(F.map_filter(m, lambda k, _: k != F.trim(p[0])), F.create_map(F.trim(p[0]), F.trim(p[1]))),
     )
 

@@ -19,6 +19,18 @@ class UnknownStrategy(EngineError):
     """A name that is not registered."""
 
 
+class SourceError(EngineError):
+    """A source that cannot be read or fetched."""
+
+
+class FormatError(SourceError):
+    """A source that can be read but does not hold what it should."""
+
+
+class StageError(EngineError):
+    """A stage whose input tables do not fit together."""
+
+
 @dataclass(frozen=True)
 class Capability:
     name: str

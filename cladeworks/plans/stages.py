@@ -223,12 +223,30 @@ def gather(chunks: DataFrame, sk: DataFrame, threshold: float) -> DataFrame:
     return compose.compose(chunks.select("representative", "member"), second)
 
 
+def read_chunks(spark, paths: list[str]) -> DataFrame:
+    """The clusters in the folders of chunk results; a folder without them is an error."""
+    out = None
+    for path in paths:
+        one = Context(spark, path).read("clusters", "It is not a chunk result.")
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise InputError("there are no chunk results to gather")
+    return out
+
+
+def snptype(ctx: Context, ignore: str = "") -> None:
+    """From alignment (name, seq) to core_snps (name, seq) and snp_distances (a, b, d)."""
+    core = ctx.write("core_snps", alignment.core_alignment(ctx.read("alignment", "It is an alignment of the genomes."), ignore=ignore))
+    ctx.write("snp_distances", alignment.hamming(core))
+
+
 @dataclass
 class Phylo:
-    """all_genomes: build over all genomes instead of representatives. advise: warn of more species than an alignment bears."""
+    """all_genomes: build over all genomes instead of representatives. source: distances of sketches, or of the rows of the table alignment (name, seq), whose names are leaves."""
 
     builder: str = "neighbour-joining"
     all_genomes: bool = False
+    source: str = "sketch"
     size: int = 31
     scaled: int = 1000
 
@@ -265,9 +283,15 @@ def phylo(ctx: Context, p: Phylo) -> None:
     if warning := tree_builders.warning(p.builder, n):
         raise InputError(warning)
     leaf = genomes.select("accession", names.strip_suffix(F.col("filename")).alias("leaf"))
-    sk = sketches(ctx, genomes, p.size, p.scaled).join(small(leaf.withColumnRenamed("accession", "id")), "id").select(F.col("leaf").alias("id"), "h")
-    build = tree_builders.get(p.builder)
-    ctx.write("tree", build(sketch_distances(cut(sk), leaf.select(F.col("leaf").alias("id"))), missing=1.0).select("newick"))
+    if one_of(p.source, ("sketch", "alignment"), "a source") == "alignment":
+        rows = ctx.read("alignment", "It is an alignment of the genomes.").join(leaf.select(F.col("leaf").alias("name")), "name", "left_semi")
+        width = rows.agg(F.min(F.length("seq"))).first()[0] or 1
+        d = alignment.hamming(rows).select("a", "b", (F.col("d") / width).alias("d"))
+        d = d.unionByName(rows.select(F.col("name").alias("a"), F.col("name").alias("b"), F.lit(0.0).alias("d")))
+    else:
+        sk = sketches(ctx, genomes, p.size, p.scaled).join(small(leaf.withColumnRenamed("accession", "id")), "id").select(F.col("leaf").alias("id"), "h")
+        d = sketch_distances(cut(sk), leaf.select(F.col("leaf").alias("id")))
+    ctx.write("tree", tree_builders.get(p.builder)(d, missing=1.0).select("newick"))
 
 
 @dataclass

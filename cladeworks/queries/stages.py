@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import names, text
 from ..operators import alignment, compose, manifest, sketch
 from ..plans import stages
 from ..plans.pipeline import Context
@@ -253,3 +253,60 @@ def snp_matrix(spark, sf):
     return w.select("name", total.cast("bigint").alias("total"), F.lit(len(heads)).cast("bigint").alias("n"))
 
 
+
+
+@query("select s_suppkey, printf('%g', case when s_acctbal::double / 10000 <= 1 then s_acctbal::double / 10000 * 100 else s_acctbal::double / 10000 end) as percent from supplier")
+def percent_texts(spark, sf):
+    s = table(spark, sf, "supplier")
+    return s.select("s_suppkey", text.percent_text(F.col("s_acctbal").cast("double") / 10000).alias("percent"))
+
+
+_VERSION = "select p_partkey, p_size::int as major, (p_partkey % 100)::int as minor, (case when p_partkey % 3 = 0 then 0 else p_partkey % 7 end)::int as patch from part"
+
+
+@query(f"select *, (major, minor, patch) >= (20, 50, 3) as reached from ({_VERSION})")
+def version_parse(spark, sf):
+    """Versions in a program's text, some without a third number, and whether they reach 20.50.3."""
+    key = F.col("p_partkey")
+    last = F.when(key % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("."), (key % 7).cast("string")))
+    told = F.concat(F.lit("tool v"), F.col("p_size").cast("string"), F.lit("."), (key % 100).cast("string"), last, F.lit(" (build)"))
+    v = table(spark, sf, "part").select("p_partkey", text.version_struct(told).alias("v"))
+    return v.select("p_partkey", "v.*", text.at_least(F.col("v"), (20, 50, 3)).alias("reached"))
+
+
+@query("select p_partkey, p_size::varchar as a, p_type as b, n from (select p_partkey, p_size, p_type, 2 as n from part)")
+def option_pairs(spark, sf):
+    """Options written key=value, with repeated keys of which the last counts."""
+    p = table(spark, sf, "part")
+    m = text.key_values(F.concat(F.lit(" a = 0, b="), "p_type", F.lit(",a="), F.col("p_size").cast("string")))
+    o = p.select("p_partkey", m.alias("m"))
+    return o.select("p_partkey", F.col("m")["a"].alias("a"), F.col("m")["b"].alias("b"), F.size("m").alias("n"))
+
+
+@query(f"with p as ({_PAIRS}) select representative, count(*) filter (member != representative) as n from p group by representative")
+def clusters_by_size(spark, sf):
+    """Clusters in the order a report lists them: by falling number of members."""
+    d = table(spark, sf, "derep_clusters").select(names.accession_of(F.col("representative")).alias("representative"), names.accession_of(F.col("member")).alias("member")).dropna().distinct()
+    return d.groupBy("representative").agg(F.count_if(F.col("member") != F.col("representative")).alias("n")).orderBy(F.desc("n"), "representative")
+
+
+@query("select cluster, list(genome order by genome) as members from (select s_name as genome, s_nationkey || '_1' as cluster from supplier) group by cluster")
+def file_cluster_members(spark, sf):
+    """A cluster table written and read, its genomes gathered by cluster."""
+    s = table(spark, sf, "supplier").select(F.col("s_name").alias("genome"), F.concat("s_nationkey", F.lit("_1")).alias("secondary_cluster"))
+    t = tables.cluster_table(spark, _csv(s, _folder(spark)))
+    return t.groupBy("cluster").agg(F.sort_array(F.collect_set("genome")).alias("members"))
+
+
+@query("select qc_id::varchar as genome, coalesce(nullif(trim(completeness), ''), 'NA') as completeness, coalesce(nullif(trim(contamination), ''), 'NA') as contamination, (qc_id % 1000)::varchar as length, 'NA' as n50, 'NA' as centrality from genome_information")
+def file_quality_text(spark, sf):
+    q = table(spark, sf, "genome_information")
+    path = _csv(q.select(F.col("qc_id").alias("genome"), "completeness", "contamination", (F.col("qc_id") % 1000).alias("length")), _folder(spark))
+    return tables.quality_text(spark, path)
+
+
+@query("select n_nationkey as id, n_name as name, n_regionkey as region from nation")
+def file_records(spark, sf):
+    path = _folder(spark)
+    sinks.records(table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")), path)
+    return tables.read_records(spark, path, "id bigint, name string, region bigint")

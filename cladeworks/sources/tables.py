@@ -123,6 +123,63 @@ def quality(spark: SparkSession, path) -> DataFrame:
     )
 
 
+def quality_text(spark: SparkSession, path) -> DataFrame:
+    """The same table as text with all seven columns; what is absent or blank is NA."""
+    raw = _tsv(spark, path, sep=",")
+    have = {"genome": "genome", "completeness": "completeness", "contamination": "contamination", "length": "length", "N50": "n50", "centrality": "centrality"}
+    return raw.select(*((F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("NA")) if c in raw.columns else F.lit("NA")).alias(o) for c, o in have.items()))
+
+
+def archive_rows(spark: SparkSession, path) -> DataFrame:
+    """(archive, n, fields): the lines of the first .tsv or .tsv.gz file in each tar archive, packed or not, as arrays of fields.
+
+    An archive is a stream and is read by one task, line by line; one without such a file is an error when it is read.
+    """
+    import gzip
+    import io
+    import tarfile
+
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            for name, body in zip(b.column(0).to_pylist(), b.column(1)):
+                with tarfile.open(fileobj=io.BytesIO(body.as_buffer()), mode="r:*") as tar:
+                    member = next((m for m in tar if m.isfile() and m.name.endswith((".tsv", ".tsv.gz"))), None)
+                    if member is None:
+                        raise ValueError(f"no .tsv file in {name}")
+                    lines = tar.extractfile(member)
+                    lines = gzip.open(lines) if member.name.endswith(".gz") else lines
+                    n, held = 0, []
+                    for line in io.TextIOWrapper(lines, "utf-8"):
+                        held.append(line.rstrip("\r\n").split("\t"))
+                        if len(held) == 10_000:
+                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(held)), pa.array(range(n, n + len(held)), pa.int64()), pa.array(held)], ["archive", "n", "fields"])
+                            n, held = n + len(held), []
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(held)), pa.array(range(n, n + len(held)), pa.int64()), pa.array(held)], ["archive", "n", "fields"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "archive string, n bigint, fields array<string>")
+
+
+def archive_table(spark: SparkSession, path, columns: list[str]) -> DataFrame:
+    """The named columns of the table in each archive, found by its first line; a column it lacks is null."""
+    from ..session import cut
+
+    rows = cut(archive_rows(spark, path))
+    heads = rows.where("n = 0").select("archive", F.col("fields").alias("_h"))
+    body = rows.where("n > 0").join(F.broadcast(heads), "archive")
+    return body.select(*(F.try_element_at("fields", F.nullif(F.array_position("_h", F.lit(c)).cast("int"), F.lit(0))).alias(c) for c in columns))
+
+
+def read_records(spark: SparkSession, path, schema: str) -> DataFrame:
+    """Records of JSON files, each one object a line or one array over all lines; files are told apart by their first sign."""
+    lines = spark.read.text(path).where("trim(value) != ''")
+    first = lines.limit(1).collect()
+    whole = bool(first) and first[0][0].lstrip().startswith("[")
+    return spark.read.schema(schema).option("multiLine", whole).json(path)
+
+
 def similarities(spark: SparkSession, path) -> DataFrame:
     """(a, b, s) of an all-against-all table."""
     return _tsv(spark, path, sep=",").select(F.col("genome1").alias("a"), F.col("genome2").alias("b"), F.col("similarity").try_cast("double").alias("s"))

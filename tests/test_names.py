@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cladeworks.functions import names, text
@@ -44,7 +45,10 @@ def test_tokens(spark):
     assert one(spark, "AAATTTGCn", text.reverse_complement) == "nGCAAATTT"
     assert one(spark, "francisella tularensis", lambda c: text.taxon_string("species", c)) == "s__Francisella tularensis"
     assert one(spark, " A, b,,C ", text.option_list) == ["a", "b", "c"]
-    assert one(spark, "a=1, b = 2,a=3,=4", text.key_values) == {"a": "3", "b": "2"}
+    assert one(spark, "a=1, b = 2,a=3, ,", text.key_values) == {"a": "3", "b": "2"} and one(spark, None, text.key_values) == {}
+    for bad in ("a=1,=4", "a"):
+        with pytest.raises(Exception, match="key=value"):
+            one(spark, bad, text.key_values)
     assert tuple(one(spark, "tool v2.10.3-beta", text.version_struct)) == (2, 10, 3)
     assert one(spark, "x" * 161, text.wrap) == "x" * 80 + "\n" + "x" * 80 + "\nx"
     assert one(spark, "x" * 80, text.wrap) == "x" * 80

@@ -1,3 +1,4 @@
+import pytest
 from cladeworks.plans.pipeline import Context, RunStore, run_stage, unpack_clusters
 from cladeworks.plans.registry import InputError
 from cladeworks.sources import fasta, tables
@@ -92,3 +93,36 @@ def test_incremental(spark, tmp_path):
         incremental.start(spark.readStream.schema(schema).parquet(str(src)), str(state)).awaitTermination()
     got = sorted((r["representative"], r["member"]) for r in spark.read.parquet(str(state / "clusters")).collect())
     assert got == [(1, 1), (1, 3), (2, 2), (4, 4)]
+
+
+def test_archives(spark, rows, tmp_path):
+    import gzip
+    import io
+    import tarfile
+
+    body = "accession\ttaxonomy\nRS_A.1\td__x\nGB_B.1\t\n"
+
+    def archive(name, members):
+        with tarfile.open(tmp_path / name, "w:gz") as t:
+            for n, data in members:
+                info = tarfile.TarInfo(n)
+                info.size = len(data)
+                t.addfile(info, io.BytesIO(data))
+        return str(tmp_path / name)
+
+    a = archive("a.tar.gz", [("README", b"x"), ("d/m.tsv", body.encode()), ("z.tsv", b"no")])
+    assert rows(tables.archive_table(spark, a, ["taxonomy", "accession", "none"])) == sorted([("d__x", "RS_A.1", None), ("", "GB_B.1", None)], key=repr)
+    b = archive("b.tar.gz", [("m.tsv.gz", gzip.compress(body.encode()))])
+    assert tables.archive_table(spark, b, ["accession"]).count() == 2
+    with pytest.raises(Exception, match="no .tsv file"):
+        tables.archive_rows(spark, archive("c.tar.gz", [("x.txt", b"")])).collect()
+
+
+def test_records_and_pages(spark, rows, tmp_path):
+    (tmp_path / "l.json").write_text('{"a": 1}\n{"a": 2}\n')
+    (tmp_path / "w.json").write_text('[\n {"a": 1},\n {"a": 2}\n]\n')
+    for name in ("l.json", "w.json"):
+        assert rows(tables.read_records(spark, str(tmp_path / name), "a int")) == [(1,), (2,)]
+    (tmp_path / "e.xml").write_text('<?xml version="1.0"?><html><body>busy</body></html>')
+    with pytest.raises(Exception, match="html"):
+        tables.taxon_pages(spark, str(tmp_path / "e.xml")).collect()
