@@ -37,6 +37,11 @@ def pair_kind_stats(spark, sf):
 
 
 _SIMS = EDGES + ", sims as (select a, b, jaccard as s from edges union all select b, a, jaccard from edges)"
+#: The same between all documents: across the two classes of an edge, and 1 within a class.
+_DOCUMENT_SIMS = EDGES + """,
+once as (select x.id as a, y.id as b, jaccard as s from edges join members x on x.class_id = a join members y on y.class_id = b
+ union all select x.id, y.id, 1.0::double from members x join members y on x.class_id = y.class_id and x.id < y.id),
+sims as (select a, b, s from once union all select b, a, s from once)"""
 
 
 def _pairs(members, edges):
@@ -53,6 +58,12 @@ def _pairs(members, edges):
     return e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", "w"))
 
 
+def _head_sims(spark, sf):
+    """Similarities of the heads of different classes in both directions."""
+    e = _classes(spark, sf)[2].select("a", "b", F.col("jaccard").alias("s"))
+    return e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+
+
 def _sims(spark, sf):
     """Similarities of different documents in both directions, weighted."""
     _, members, edges = _classes(spark, sf)
@@ -61,6 +72,12 @@ def _sims(spark, sf):
 
 @query(f"with {_SIMS} select least(floor((s - 0.8::double) / ((1.0::double - 0.8::double) / 100)), 99)::int as bin, count(*) as n from sims where a != b and s between 0.8 and 1.0 group by 1")
 def glance_hist(spark, sf):
+    """Pairs of class heads, as the SQL counts them; pairs of documents are in glance_hist_documents."""
+    return distances.overview(_head_sims(spark, sf), 0.8, 1.0)
+
+
+@query(f"with {_DOCUMENT_SIMS} select least(floor((s - 0.8::double) / ((1.0::double - 0.8::double) / 100)), 99)::int as bin, count(*) as n from sims where a != b and s between 0.8 and 1.0 group by 1")
+def glance_hist_documents(spark, sf):
     return distances.overview(_sims(spark, sf), 0.8, 1.0, weight="w")
 
 

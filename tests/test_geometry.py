@@ -155,3 +155,31 @@ def test_overview_counts_pairs_of_documents(spark, rows):
     got = distances.five_numbers(p, 0.8, 1.0, "w").first()
     assert tuple(got) == pytest.approx((24, 0.83, *quantiles(every, n=4, method="inclusive"), 1.0))
     assert distances.five_numbers(p.limit(0), 0.8, 1.0, "w").first()["n"] == 0
+
+
+@pytest.fixture(scope="module")
+def glance(spark, tmp_path_factory):
+    """A folder of documents: classes {1, 4}, {2, 5}, {3}, {6, 7}, the first three with edges of 26/27, 26/29 and 27/29."""
+    w = [f"w{i}" for i in range(33)]
+    texts = [(1, " ".join(w[:30])), (2, " ".join(w[:31])), (3, " ".join(w[:33])), (4, ", ".join(w[:30]).upper()), (5, " ".join(w[:31])),
+             (6, "x1 x2 x3 x4 x5 x6"), (7, "X1 X2 X3 X4 X5 X6"), (8, "too short"), (9, None), (None, " ".join(w[:30]))]
+    folder = tmp_path_factory.mktemp("glance")
+    spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def by_sql(name, folder):
+    from cladeworks.queries import catalogue
+
+    c = pytest.importorskip("duckdb").connect()
+    c.execute(f"create view documents as select * from read_parquet('{folder}/documents.parquet/*.parquet')")
+    return sorted(c.execute(catalogue.ORACLES[name]).fetchall())
+
+
+def test_glance_hist_is_its_sql(spark, rows, glance):
+    from cladeworks.queries import geometry
+
+    assert rows(geometry.glance_hist(spark, glance)) == [(48, 2), (65, 2), (81, 2)]
+    assert by_sql("glance_hist", glance) == [(48, 2), (65, 2), (81, 2)]
+    every = rows(geometry.glance_hist_documents(spark, glance))
+    assert every == by_sql("glance_hist_documents", glance) == [(48, 4), (65, 4), (81, 8), (99, 6)]
