@@ -83,6 +83,12 @@ def glance_hist_documents(spark, sf):
 
 @query(f"with {_SIMS} select count(*) as n, round(min(s), 9) as least, round(quantile_cont(s, 0.25), 9) as q1, round(median(s), 9) as q2, round(quantile_cont(s, 0.75), 9) as q3, round(max(s), 9) as most from sims where a != b and s between 0.8 and 1.0")
 def glance_box(spark, sf):
+    """Pairs of class heads, as the SQL counts them; pairs of documents are in glance_box_documents."""
+    return distances.five_numbers(_head_sims(spark, sf), 0.8, 1.0).select("n", *(F.round(c, 9).alias(c) for c in ("least", "q1", "q2", "q3", "most")))
+
+
+@query(f"with {_DOCUMENT_SIMS} select count(*) as n, round(min(s), 9) as least, round(quantile_cont(s, 0.25), 9) as q1, round(median(s), 9) as q2, round(quantile_cont(s, 0.75), 9) as q3, round(max(s), 9) as most from sims where a != b and s between 0.8 and 1.0")
+def glance_box_documents(spark, sf):
     return distances.five_numbers(_sims(spark, sf), 0.8, 1.0, weight="w").select("n", *(F.round(c, 9).alias(c) for c in ("least", "q1", "q2", "q3", "most")))
 
 

@@ -183,3 +183,19 @@ def test_glance_hist_is_its_sql(spark, rows, glance):
     assert by_sql("glance_hist", glance) == [(48, 2), (65, 2), (81, 2)]
     every = rows(geometry.glance_hist_documents(spark, glance))
     assert every == by_sql("glance_hist_documents", glance) == [(48, 4), (65, 4), (81, 8), (99, 6)]
+
+
+def test_glance_box_is_its_sql(spark, glance):
+    from statistics import quantiles
+
+    from cladeworks.queries import geometry
+
+    def want(values):
+        return pytest.approx((len(values), min(values), *quantiles(values, n=4, method="inclusive"), max(values)), abs=1e-9)
+
+    e, f, g = 26 / 27, 26 / 29, 27 / 29
+    got = tuple(geometry.glance_box(spark, glance).first())
+    assert got == want([e, f, g] * 2)
+    every = tuple(geometry.glance_box_documents(spark, glance).first())
+    assert every == want([e] * 8 + [f] * 4 + [g] * 4 + [1.0] * 6)
+    assert by_sql("glance_box", glance) == [got] and by_sql("glance_box_documents", glance) == [every]
